@@ -45,7 +45,8 @@ def split_packed(
     ``layouts`` maps a packed column to its (piece name, type) list. A piece that is
     absent or does not parse becomes null. All columns are split in one projection.
     """
-    pattern = "\\Q" + sep + "\\E"
+    # a plain or escaped single character avoids compiling a pattern per row
+    pattern = "".join(c if c.isalnum() or c in ",; -_/" else "\\" + c for c in sep)
     pieces = {
         name: F.get(F.split(F.col(packed), pattern), F.lit(i)).try_cast(kind)
         for packed, layout in layouts.items()

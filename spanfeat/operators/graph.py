@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.checks import require_columns
-from ..session import cut_lineage
+from ..session import cut_lineage, settle
 
 # Edges of one node beyond this count are split into several parts.
 EDGE_ROWS = 10_000
@@ -24,20 +24,32 @@ def edge_weights(df: DataFrame, src: str, dst: str, weight: str = "weight") -> D
     )
 
 
-def _in_parts(edges: DataFrame, near: str, far: str, edge_rows: int) -> DataFrame:
-    """Add the part number of each edge on its ``near`` node, and the node's part count."""
-    parts = edges.groupBy(near).agg(
-        F.ceil(F.count("*") / edge_rows).cast("int").alias("_parts")
+def _crowded(edges: DataFrame, near: str, edge_rows: int) -> DataFrame:
+    """Nodes with more than ``edge_rows`` edges on their ``near`` end, with a part count."""
+    return settle(
+        edges.groupBy(F.col(near).alias("node"))
+        .agg(F.count("*").alias("_n"))
+        .filter(F.col("_n") > edge_rows)
+        .select("node", F.ceil(F.col("_n") / edge_rows).cast("int").alias("_parts"))
     )
-    return edges.join(parts, near).withColumn(
-        "_part", F.pmod(F.xxhash64(far), F.col("_parts")).cast("int")
+
+
+def _lanes(edges: DataFrame, near: str, far: str, crowded: DataFrame) -> DataFrame:
+    """Edges as (node, _part, _to, other columns): edges of crowded nodes get a part number."""
+    named = edges.withColumnsRenamed({near: "node", far: "_to"})
+    return (
+        named.join(crowded, "node", "left")
+        .withColumn("_part", F.pmod(F.xxhash64("_to"), F.coalesce("_parts", F.lit(1))).cast("int"))
+        .drop("_parts")
     )
 
 
-def _visit_parts(state: DataFrame) -> DataFrame:
-    """Repeat each state row once per part of its node; nodes without edges drop out."""
-    return state.withColumn(
-        "_part", F.explode(F.when(F.col("_parts") > 0, F.sequence(F.lit(0), F.col("_parts") - 1)))
+def _visit(state: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Repeat the state of a crowded node once per part."""
+    return (
+        state.join(crowded, "node", "left")
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
+        .drop("_parts")
     )
 
 
@@ -48,7 +60,7 @@ def pagerank(
     max_iter: int = 100,
     weight: str = "weight",
     edge_rows: int = EDGE_ROWS,
-    rounds_per_cut: int = 5,
+    rounds_per_cut: int = 2,
 ) -> DataFrame:
     """Weighted PageRank as (node, rank); ranks sum to 1.
 
@@ -63,23 +75,25 @@ def pagerank(
         .groupBy("src", "dst")
         .agg(F.sum(weight).cast("double").alias("_w"))
     )
-    out_weight = summed.groupBy("src").agg(F.sum("_w").alias("_out"))
     shares = cut_lineage(
-        _in_parts(summed.join(out_weight, "src"), "src", "dst", edge_rows).select(
-            "src", "_part", "_parts", "dst", (F.col("_w") / F.col("_out")).alias("_share")
+        summed.join(summed.groupBy("src").agg(F.sum("_w").alias("_out")), "src").select(
+            "src", "dst", (F.col("_w") / F.col("_out")).alias("_share")
         )
     )
     nodes = cut_lineage(
-        shares.select(F.col("src").alias("node"), "_parts")
-        .unionByName(shares.select(F.col("dst").alias("node"), F.lit(0).alias("_parts")))
-        .groupBy("node")
-        .agg(F.max("_parts").alias("_parts"))
+        shares.select(F.col("src").alias("node")).unionAll(shares.select("dst")).distinct()
     )
     n = nodes.count()
     if n == 0:
         return nodes.select("node", F.lit(0.0).alias("rank"))
-    # edges keep one layout for all rounds
-    lanes = shares.select("src", "_part", "dst", "_share").repartition("src", "_part").persist()
+    crowded = _crowded(shares, "src", edge_rows)
+    # edges keep one layout and order for all rounds
+    lanes = (
+        _lanes(shares, "src", "dst", crowded)
+        .repartition("node", "_part")
+        .sortWithinPartitions("node", "_part")
+        .persist()
+    )
     base = nodes.withColumn("_c", F.lit((1 - damping) / n))
 
     ranks = nodes.withColumn("rank", F.lit(1.0 / n))
@@ -87,17 +101,11 @@ def pagerank(
     while done < max_iter:
         before = ranks
         for _ in range(min(rounds_per_cut, max_iter - done)):
-            sent = _visit_parts(ranks).select(F.col("node").alias("src"), "_part", "rank")
-            received = lanes.join(sent, ["src", "_part"]).select(
-                F.col("dst").alias("node"),
-                F.lit(0).alias("_parts"),
+            received = lanes.join(_visit(ranks, crowded), ["node", "_part"]).select(
+                F.col("_to").alias("node"),
                 (F.lit(damping) * F.col("_share") * F.col("rank")).alias("_c"),
             )
-            ranks = (
-                base.unionByName(received)
-                .groupBy("node")
-                .agg(F.max("_parts").alias("_parts"), F.sum("_c").alias("rank"))
-            )
+            ranks = base.unionByName(received).groupBy("node").agg(F.sum("_c").alias("rank"))
             done += 1
         ranks = cut_lineage(ranks)
         if tol is not None:
@@ -132,24 +140,19 @@ def betweenness(
     ends = edges.select(F.col("src").alias("node")).unionAll(edges.select("dst")).dropna()
     if not directed:
         links = links.unionAll(links.select(F.col("dst"), F.col("src")))
-    links = links.distinct()
-    forward = cut_lineage(_in_parts(links, "src", "dst", edge_rows))
-    backward = cut_lineage(_in_parts(links, "dst", "src", edge_rows))
-    nodes = cut_lineage(
-        ends.distinct()
-        .join(forward.groupBy(F.col("src").alias("node")).agg(F.max("_parts").alias("_out")), "node", "left")
-        .join(backward.groupBy(F.col("dst").alias("node")).agg(F.max("_parts").alias("_in")), "node", "left")
-    )
+    links = cut_lineage(links.distinct())
+    nodes = cut_lineage(ends.distinct())
     n = nodes.count()
-    step_out = forward.select(F.col("src").alias("node"), "_part", F.col("dst").alias("_to"))
-    step_in = backward.select(F.col("dst").alias("node"), "_part", F.col("src").alias("_to"))
+    crowded_out, crowded_in = (_crowded(links, end, edge_rows) for end in ("src", "dst"))
+    step_out = _lanes(links, "src", "dst", crowded_out)
+    step_in = _lanes(links, "dst", "src", crowded_in)
     batches = max(1, -(-n // sources_per_batch))
 
-    def walk(state: DataFrame, lanes: DataFrame, parts: str, value: str) -> DataFrame:
+    def walk(state: DataFrame, lanes: DataFrame, crowded: DataFrame, value: str) -> DataFrame:
         """Move a value along the edges and add it up per (source, reached node)."""
-        sent = _visit_parts(state.join(nodes.select("node", F.col(parts).alias("_parts")), "node"))
         return (
-            sent.join(lanes, ["node", "_part"])
+            _visit(state, crowded)
+            .join(lanes, ["node", "_part"])
             .groupBy("source", F.col("_to").alias("node"))
             .agg(F.sum(value).alias(value))
         )
@@ -160,7 +163,7 @@ def betweenness(
         levels = [start.select(F.col("node").alias("source"), "node", F.lit(1.0).alias("paths"))]
         seen = levels[0].select("source", "node")
         while True:
-            reached = walk(levels[-1], step_out, "_out", "paths")
+            reached = walk(levels[-1], step_out, crowded_out, "paths")
             fresh = cut_lineage(reached.join(seen, ["source", "node"], "left_anti"))
             if fresh.isEmpty():
                 break
@@ -178,7 +181,7 @@ def betweenness(
             state = cut_lineage(state.select("source", "node", "paths", "debt"))
             scores.append(state.groupBy("node").agg(F.sum("debt").alias("debt")))
             credit = state.withColumn("credit", (1 + F.col("debt")) / F.col("paths"))
-            owed = walk(credit, step_in, "_in", "credit")
+            owed = walk(credit, step_in, crowded_in, "credit")
 
     total = nodes.select("node", F.lit(0.0).alias("debt"))
     for part in scores:

@@ -32,17 +32,8 @@ class Measure:
         return self.out or self.col
 
 
-def _by_station_hour(
-    hourly: DataFrame, bridge: DataFrame, station: str, neighbor: str, aggs: Sequence[Column]
-) -> DataFrame:
-    """Combine per-(entity, hour) summaries over each station's neighbour list."""
-    pairs = bridge.select(F.col(station).alias("_station"), F.col(neighbor).alias("_entity"))
-    return (
-        hourly.join(pairs, "_entity")
-        .groupBy("_station", "_hour")
-        .agg(*aggs)
-        .withColumnsRenamed({"_station": "_entity"})
-    )
+def _bridge_pairs(bridge: DataFrame, station: str, neighbor: str) -> DataFrame:
+    return bridge.select(F.col(station).alias("_station"), F.col(neighbor).alias("_entity"))
 
 
 def impute_neighbors(
@@ -66,7 +57,7 @@ def impute_neighbors(
     The bridge must list every station as its own neighbour.
 
     All measures are handled in one pass: readings shrink to one row per (entity, hour)
-    before they meet the bridge, so the fan-out works on summaries, not on readings.
+    before they meet the bridge, and only hours with something to fill are looked up.
     """
     require_columns(df, [entity, ts, *keep, *[m.col for m in measures]])
     require_columns(bridge, [station, neighbor])
@@ -94,12 +85,17 @@ def impute_neighbors(
         )
         .filter(reduce(lambda a, b: a | b, [F.col(f"{v}n") > 0 for v in values]))
     )
-    around = _by_station_hour(
-        hourly,
-        bridge,
-        station,
-        neighbor,
-        [F.try_divide(F.sum(f"{v}s"), F.sum(f"{v}n")).alias(f"{v}a") for v in values],
+    # only hours in which a station misses something are spread over its neighbours
+    wanted = (
+        rows.filter(reduce(lambda a, b: a | b, [F.col(m) for m in needs]))
+        .select(F.col("_entity").alias("_station"), "_hour")
+        .distinct()
+    )
+    around = (
+        wanted.join(_bridge_pairs(bridge, station, neighbor), "_station")
+        .join(hourly, ["_entity", "_hour"])
+        .groupBy(F.col("_station").alias("_entity"), "_hour")
+        .agg(*[F.try_divide(F.sum(f"{v}s"), F.sum(f"{v}n")).alias(f"{v}a") for v in values])
     )
     filled = rows.join(around, ["_entity", "_hour"], "left").select(
         "_entity",
@@ -154,13 +150,13 @@ def neighborhood_stats(
         *[F.count(f"_v{i}").alias(f"_n{i}") for i in span],
         *[F.min(f"_v{i}").alias(f"_l{i}") for i in span],
     )
-    around = _by_station_hour(
-        hourly,
-        bridge,
-        station,
-        neighbor,
-        [F.try_divide(F.sum(f"_s{i}"), F.sum(f"_n{i}")).alias(f"_avg{i}") for i in span]
-        + [F.min(f"_l{i}").alias(f"_min{i}") for i in span],
+    around = (
+        hourly.join(_bridge_pairs(bridge, station, neighbor), "_entity")
+        .groupBy(F.col("_station").alias("_entity"), "_hour")
+        .agg(
+            *[F.try_divide(F.sum(f"_s{i}"), F.sum(f"_n{i}")).alias(f"_avg{i}") for i in span],
+            *[F.min(f"_l{i}").alias(f"_min{i}") for i in span],
+        )
     )
     outputs = [
         F.when(F.col(f"_v{i}").isNotNull(), F.col(f"_{kind}{i}")).alias(name)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import geo, impute
 from ..operators.splits import slice_between
+from ..session import staged
 from .catalog import miles_sql, query, table
 
 # Readings: every user is a station; sentinels and quality codes sit at fixed places.
@@ -24,7 +25,7 @@ STATIONS_SQL = """
     st AS (SELECT DISTINCT user_id AS id, 30e0 + (user_id * 7919 % 1009) / 200e0 AS lat,
                   -100e0 + (user_id * 104729 % 2003) / 400e0 AS lon FROM events),
     bridge AS MATERIALIZED (SELECT a.id AS station_id, b.id AS neighbor_id FROM st a, st b
-               WHERE a.id = b.id OR {miles} <= 50)
+               WHERE a.id = b.id OR {miles} <= 25)
 """.format(miles=miles_sql("a", "b"))
 
 IMPUTED_SQL = """
@@ -78,21 +79,17 @@ def station_bridge(spark, folder):
             (-100.0 + F.pmod(u * 104729, F.lit(2003)) / 400.0).alias("lon"),
         )
     )
-    return geo.radius_neighbors(stations, "station_id", "lat", "lon", 50.0).select(
-        "station_id", "neighbor_id"
-    )
+    pairs = geo.radius_neighbors(stations, "station_id", "lat", "lon", 25.0)
+    return staged(pairs.select("station_id", "neighbor_id"), "bridge")
 
 
 def neighbour_filled(spark, folder):
-    """Phase one on both measures."""
-    return impute.impute_neighbors(
-        readings(spark, folder),
-        station_bridge(spark, folder),
-        "station",
-        "ts",
-        MEASURES,
-        keep=["event_id", "station", "ts"],
+    """Phase one on both measures, and the bridge it used; both are stage tables."""
+    bridge = station_bridge(spark, folder)
+    filled = impute.impute_neighbors(
+        readings(spark, folder), bridge, "station", "ts", MEASURES, keep=["event_id", "station", "ts"]
     )
+    return staged(filled, "imputed"), bridge
 
 
 @query(
@@ -105,7 +102,8 @@ def neighbour_filled(spark, folder):
     """,
 )
 def impute_neighbors(spark, folder):
-    return neighbour_filled(spark, folder).select(
+    filled, _ = neighbour_filled(spark, folder)
+    return filled.select(
         "event_id", "station", F.round("v", 6).alias("v"), F.round("w", 6).alias("w")
     )
 
@@ -126,9 +124,10 @@ def impute_neighbors(spark, folder):
     """,
 )
 def neighborhood_stats(spark, folder):
+    filled, bridge = neighbour_filled(spark, folder)
     out = impute.neighborhood_stats(
-        neighbour_filled(spark, folder),
-        station_bridge(spark, folder),
+        filled,
+        bridge,
         "station",
         "ts",
         {"v": {"avg": "avg_v", "min": "min_v"}, "w": {"avg": "avg_w"}},
@@ -200,8 +199,12 @@ def impute_global_mean(spark, folder):
 )
 def impute_three_phase(spark, folder):
     """Neighbours, then station means, then global means; some stations are unseen in training."""
-    filled = neighbour_filled(spark, folder).select("event_id", "v", "w")
-    rows = readings(spark, folder).select("event_id", "station", "ts").join(filled, "event_id", "left")
+    filled, _ = neighbour_filled(spark, folder)
+    rows = (
+        readings(spark, folder)
+        .select("event_id", "station", "ts")
+        .join(filled.select("event_id", "v", "w"), "event_id", "left")
+    )
     train = slice_between(rows, "ts", end=TRAIN_END)
     fitted = impute.fit_group_stats(
         train.filter(F.pmod("station", F.lit(4)) != 0),
