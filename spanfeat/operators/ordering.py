@@ -22,16 +22,22 @@ def ordered_prefix(df: DataFrame, order: str, sums: Sequence[str]) -> DataFrame:
     """
     require_columns(df, [order, *sums])
     ranged = cut_lineage(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
-    totals = sorted(ranged.groupBy("_range").agg(*[F.sum(c).alias(c) for c in sums]).collect())
-    starts = {c: list(accumulate([row[c] for row in totals], initial=0)) for c in sums}
-    types = {c: ranged.groupBy().agg(F.sum(c)).schema[0].dataType for c in sums}
-    offsets = df.sparkSession.createDataFrame(
-        [(row["_range"], *[starts[c][i] for c in sums]) for i, row in enumerate(totals)],
-        "_range int, " + ", ".join(f"`_start_{c}` {types[c].simpleString()}" for c in sums),
+    totals = (
+        ranged.groupBy("_range")
+        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
+        .orderBy("_range")
+    )
+    offsets = [tuple(row) for row in totals.collect()]
+    for i in range(1, len(totals.columns)):
+        values = [row[i] for row in offsets]
+        starts = accumulate(values[:-1], initial=type(values[0])(0)) if values else []
+        offsets = [(*row[:i], start, *row[i + 1 :]) for row, start in zip(offsets, starts, strict=True)]
+    shifts = df.sparkSession.createDataFrame(offsets, totals.schema).withColumnsRenamed(
+        {c: f"_start_{c}" for c in sums}
     )
     below = W.partitionBy("_range").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     return (
-        ranged.join(F.broadcast(offsets), "_range")
+        ranged.join(F.broadcast(shifts), "_range")
         .withColumns(
             {
                 f"{c}_before": F.col(f"_start_{c}") + F.coalesce(F.sum(c).over(below), F.lit(0))

@@ -119,10 +119,19 @@ def pairwise_products(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair, in one pass, as (a, b, corr)."""
+    """Pearson correlation of every pair, in one pass, as (a, b, corr).
+
+    Rows with a null in either column are left out; a constant column gives null.
+    """
     require_columns(df, cols)
     pairs = list(combinations(cols, 2))
-    wide = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+
+    def corr(a: str, b: str) -> Column:
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        spread = F.stddev(F.when(both, F.col(a))) * F.stddev(F.when(both, F.col(b)))
+        return F.try_divide(F.covar_samp(a, b), spread)
+
+    wide = df.agg(*[corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     return wide.select(
         F.inline(
             F.array(
