@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 from itertools import accumulate
 
@@ -13,34 +14,35 @@ from ..functions.checks import as_list, require_columns
 from ..session import cut_lineage
 
 
+def _in_ranges(df: DataFrame, order: str, sums: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows range-partitioned by ``order`` with their range number, and sums per range.
+
+    The rows are stored once, so that the range numbers are fixed for every later use.
+    """
+    ranged = cut_lineage(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
+    totals = ranged.groupBy("_range").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
+    return ranged, totals.orderBy("_range")
+
+
 def ordered_prefix(df: DataFrame, order: str, sums: Sequence[str]) -> DataFrame:
     """Add ``<col>_before``: the sum of ``col`` over all rows with a smaller ``order`` value.
 
-    ``order`` must be unique. Rows are range-partitioned by it and stored once, so that
-    partition numbers are fixed; each range is then scanned on its own and shifted by
-    the total of the ranges below it. Only one row per range reaches the driver.
+    ``order`` must be unique. Each range of rows is scanned on its own and shifted by
+    the total of the ranges below it; there is one total per range, so the window over
+    totals is small.
     """
     require_columns(df, [order, *sums])
-    ranged = cut_lineage(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
-    totals = (
-        ranged.groupBy("_range")
-        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
-        .orderBy("_range")
-    )
-    offsets = [tuple(row) for row in totals.collect()]
-    for i in range(1, len(totals.columns)):
-        values = [row[i] for row in offsets]
-        starts = accumulate(values[:-1], initial=type(values[0])(0)) if values else []
-        offsets = [(*row[:i], start, *row[i + 1 :]) for row, start in zip(offsets, starts, strict=True)]
-    shifts = df.sparkSession.createDataFrame(offsets, totals.schema).withColumnsRenamed(
-        {c: f"_start_{c}" for c in sums}
+    ranged, totals = _in_ranges(df, order, sums)
+    lower = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    shifts = totals.select(
+        "_range", *[F.coalesce(F.sum(c).over(lower), F.lit(0)).alias(f"_shift_{c}") for c in sums]
     )
     below = W.partitionBy("_range").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     return (
         ranged.join(F.broadcast(shifts), "_range")
         .withColumns(
             {
-                f"{c}_before": F.col(f"_start_{c}") + F.coalesce(F.sum(c).over(below), F.lit(0))
+                f"{c}_before": F.col(f"_shift_{c}") + F.coalesce(F.sum(c).over(below), F.lit(0))
                 for c in sums
             }
         )
@@ -51,30 +53,40 @@ def ordered_prefix(df: DataFrame, order: str, sums: Sequence[str]) -> DataFrame:
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
     """Exact quantiles with linear interpolation; nulls are ignored.
 
-    Equal values are counted before the global order is built, and only the two
-    neighbours of each quantile are brought to the driver.
+    Equal values are counted first. Range totals tell which ranges hold the wanted
+    ranks; only those are scanned, and only the neighbours of each quantile reach the
+    driver.
     """
     counts = (
         df.filter(F.col(col).isNotNull())
         .groupBy(F.col(col).cast("double").alias("v"))
         .agg(F.count("*").alias("n"))
     )
-    ranked = cut_lineage(ordered_prefix(counts, "v", ["n"]))
-    total = ranked.agg(F.sum("n")).first()[0]
-    if not total:
+    ranged, totals = _in_ranges(counts, "v", ["n"])
+    sizes = totals.collect()
+    ends = list(accumulate(r["n"] for r in sizes))
+    if not ends:
         return [None for _ in probs]
-    places = [p * (total - 1) for p in probs]
-    wanted = sorted({int(x) for x in places} | {min(int(x) + 1, total - 1) for x in places})
-    covers = [
-        F.max(
-            F.when((F.col("n_before") <= r) & (F.col("n_before") + F.col("n") > r), F.col("v"))
-        ).alias(f"r{i}")
-        for i, r in enumerate(wanted)
-    ]
-    found = dict(zip(wanted, ranked.agg(*covers).first(), strict=True))
+    places = [p * (ends[-1] - 1) for p in probs]
+    ranks = sorted({int(x) for x in places} | {min(int(x) + 1, ends[-1] - 1) for x in places})
+    holder = {r: bisect_right(ends, r) for r in ranks}
+    shift = {r: ends[i] - sizes[i]["n"] for r, i in holder.items()}
+    upto = W.partitionBy("_range").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    scanned = ranged.filter(
+        F.col("_range").isin(sorted({sizes[i]["_range"] for i in holder.values()}))
+    ).withColumn("_upto", F.sum("n").over(upto))
+
+    def value_at(rank: int) -> Column:
+        local = rank - shift[rank]
+        inside = (F.col("_range") == sizes[holder[rank]]["_range"]) & (
+            (F.col("_upto") > local) & (F.col("_upto") - F.col("n") <= local)
+        )
+        return F.max(F.when(inside, F.col("v")))
+
+    values = dict(zip(ranks, scanned.agg(*[value_at(r) for r in ranks]).first(), strict=True))
     out = []
     for x in places:
-        low, high = found[int(x)], found[min(int(x) + 1, total - 1)]
+        low, high = values[int(x)], values[min(int(x) + 1, ends[-1] - 1)]
         out.append(low + (high - low) * (x - int(x)))
     return out
 

@@ -43,6 +43,13 @@ def drop_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFr
     return df.dropna(how="any", subset=list(subset) if subset else None)
 
 
+def exclude_flagged(df: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """Drop rows with any flag set, e.g. cancelled or diverted; a missing flag counts as not set."""
+    for flag in flags:
+        df = df.filter(F.coalesce(F.col(flag).cast("double"), F.lit(0.0)) == 0)
+    return df
+
+
 def filter_outliers(
     df: DataFrame,
     col: str,

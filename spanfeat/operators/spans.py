@@ -23,14 +23,17 @@ from ..session import require_utc
 
 # Rows that can match nothing (null key or null time) are spread over this many chunks.
 _SPREAD = 4096
+# Calendar ranges up to this count are tested inside one expression.
+INLINE_RANGES = 64
 
 
 def _chunk(at: Column, width: int) -> Column:
-    return F.floor(at / F.lit(width)).cast("long")
+    """Start of the chunk that holds an instant; chunks are named by their start."""
+    return at - F.pmod(at, F.lit(width))
 
 
 def _spread(df: DataFrame) -> Column:
-    """Chunk numbers for rows without a usable key, so that they do not pile up."""
+    """Made-up chunks for rows without a usable key, so that they do not pile up."""
     return (-1 - F.pmod(F.xxhash64(*df.columns), F.lit(_SPREAD))).cast("long")
 
 
@@ -38,9 +41,9 @@ def _usable(*cols: Column) -> Column:
     return reduce(lambda a, b: a & b, [c.isNotNull() for c in cols])
 
 
-def _later_chunks(first: Column, last: Column) -> Column:
-    """Chunk numbers first..last; null (dropped by explode) when the range is empty."""
-    return F.when(first <= last, F.sequence(first, last))
+def _later_chunks(chunk: Column, last: Column, width: int) -> Column:
+    """Chunks after this one up to the last; null (dropped by explode) when there are none."""
+    return F.when(chunk < last, F.sequence(chunk + width, last, F.lit(width).cast("long")))
 
 
 def asof_join(
@@ -93,7 +96,7 @@ def asof_join(
         .withColumn("_last", _chunk(F.col("_at") + span, width))
         .withColumn(
             "_chunk",
-            F.explode(_later_chunks(F.col("_chunk") + 1, F.least("_next", "_last"))),
+            F.explode(_later_chunks(F.col("_chunk"), F.least("_next", "_last"), width)),
         )
     )
 
@@ -149,20 +152,18 @@ def _running_before(
     per_chunk = (
         points.groupBy(*group)
         .agg(F.sum("_n").alias("_n"))
-        .withColumn("_period", F.floor(F.col("_chunk") * width / period).cast("long"))
+        .withColumn("_period", _chunk(F.col("_chunk"), period))
     )
     order = W.partitionBy(*keys, "_period").orderBy("_chunk")
     carry = (
         per_chunk.withColumn("_next", F.lead("_chunk").over(order))
         .withColumn("_n", F.sum("_n").over(order))
-        .withColumn("_end", ((F.col("_period") + 1) * F.lit(period // width) - 1))
+        .withColumn("_end", F.col("_period") + F.lit(period - width))
         .withColumn(
             "_chunk",
-            F.explode(
-                _later_chunks(F.col("_chunk") + 1, F.coalesce(F.least("_next", "_end"), "_end"))
-            ),
+            F.explode(_later_chunks(F.col("_chunk"), F.least("_next", "_end"), width)),
         )
-        .withColumn("_at", F.col("_chunk") * width)
+        .withColumn("_at", F.col("_chunk"))
     )
 
     def as_rows(df: DataFrame, side: int) -> DataFrame:
@@ -327,12 +328,19 @@ def range_flag(
     begin: str = "begin",
     end: str = "end",
     chunk: timedelta = timedelta(hours=1),
+    inline: int = INLINE_RANGES,
 ) -> DataFrame:
     """1 when the instant lies in any closed range, else 0; never multiplies rows.
 
-    A literal list becomes a plain expression. A frame of ranges is cut at chunk
-    borders and scanned together with the rows of the chunk.
+    A list, or a frame with few ranges (a measured count), becomes a plain expression
+    without a shuffle. A longer frame is cut at chunk borders and scanned together with
+    the rows of the chunk.
     """
+    if isinstance(ranges, DataFrame):
+        few = ranges.select(begin, end).dropna().filter(F.col(begin) <= F.col(end)).limit(inline + 1)
+        head = few.collect()
+        if len(head) <= inline:
+            ranges = [tuple(r) for r in head]
     if not isinstance(ranges, DataFrame):
         kind = df.schema[ts].dataType
         tests = [
@@ -356,11 +364,17 @@ def range_flag(
         .filter(F.col("_lo") <= F.col("_end"))
         .withColumn(
             "_chunk",
-            F.explode(F.sequence(_chunk(F.col("_lo"), width), _chunk(F.col("_end"), width))),
+            F.explode(
+                F.sequence(
+                    _chunk(F.col("_lo"), width),
+                    _chunk(F.col("_end"), width),
+                    F.lit(width).cast("long"),
+                )
+            ),
         )
         .select(
             "_chunk",
-            F.greatest(F.col("_lo"), F.col("_chunk") * width).alias("_at"),
+            F.greatest("_lo", "_chunk").alias("_at"),
             F.lit(0).alias("_side"),
             "_end",
             F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"),

@@ -26,7 +26,7 @@ def group_stats(
 def frequency(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
     """Rows and share of the whole per distinct combination."""
     counts = df.groupBy(*as_list(cols)).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*").alias("_total"))
+    total = counts.agg(F.sum("n").alias("_total"))
     return with_one_row(counts, total).select(
         *as_list(cols), "n", (F.col("n") / F.col("_total")).alias("share")
     )

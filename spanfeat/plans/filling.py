@@ -84,12 +84,12 @@ def station_bridge(spark, folder):
 
 
 def neighbour_filled(spark, folder):
-    """Phase one on both measures, and the bridge it used; both are stage tables."""
+    """Phase one on both measures, and the bridge it used."""
     bridge = station_bridge(spark, folder)
     filled = impute.impute_neighbors(
         readings(spark, folder), bridge, "station", "ts", MEASURES, keep=["event_id", "station", "ts"]
     )
-    return staged(filled, "imputed"), bridge
+    return filled, bridge
 
 
 @query(
@@ -126,7 +126,7 @@ def impute_neighbors(spark, folder):
 def neighborhood_stats(spark, folder):
     filled, bridge = neighbour_filled(spark, folder)
     out = impute.neighborhood_stats(
-        filled,
+        staged(filled, "imputed"),
         bridge,
         "station",
         "ts",
@@ -203,7 +203,7 @@ def impute_three_phase(spark, folder):
     rows = (
         readings(spark, folder)
         .select("event_id", "station", "ts")
-        .join(filled.select("event_id", "v", "w"), "event_id", "left")
+        .join(staged(filled, "imputed").select("event_id", "v", "w"), "event_id", "left")
     )
     train = slice_between(rows, "ts", end=TRAIN_END)
     fitted = impute.fit_group_stats(

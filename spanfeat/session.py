@@ -25,6 +25,7 @@ def build_session(app: str = "spanfeat", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.checkpoint.compress": "true",
         **conf,
     }
     for key, value in settings.items():

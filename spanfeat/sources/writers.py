@@ -17,14 +17,10 @@ def checkpoint_stage(
 ) -> DataFrame:
     """Persist a stage as parquet and return it re-read: lineage is cut, sizes are known.
 
-    Rows are first brought together by the partition columns plus a hash, so that a
-    partition value with very many rows is written by several tasks.
+    Rows are rebalanced by the partition columns: adaptive execution splits a partition
+    value with very many rows over several files and merges small ones.
     """
-    writer = df
-    if partition_by:
-        writer = df.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(16))).repartition(
-            *partition_by, "_slice"
-        ).drop("_slice")
+    writer = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
     writer.write.mode(mode).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -79,6 +79,11 @@ def test_sparse_columns_outliers_and_loss(spark, rows):
     assert published.rows_lost == 575_642 and round(published.rows_lost_pct, 4) == 1.8132
 
 
+def test_exclude_flagged(spark, rows):
+    df = spark.createDataFrame([(1, 0, 0), (2, 1, 0), (3, None, 0), (4, 0, 1)], "id int, c int, d int")
+    assert rows(quality.exclude_flagged(df, ["c", "d"]), "id") == [(1,), (3,)]
+
+
 @pytest.mark.parametrize("n", [1, 2, 7, 400])
 def test_exact_quantiles_match_numpy(spark, n):
     rnd = Random(n)
