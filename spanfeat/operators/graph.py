@@ -53,6 +53,17 @@ def _visit(state: DataFrame, crowded: DataFrame) -> DataFrame:
     )
 
 
+def _tasks(edges: DataFrame) -> int:
+    """Tasks for a table that is scanned every round, by its measured number of edges.
+
+    The session's shuffle setting, but not below 100 thousand edges per task for small
+    graphs and not above 5 million for large ones.
+    """
+    n = edges.count()
+    usual = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(usual, -(-n // 100_000)), -(-n // 5_000_000))
+
+
 def pagerank(
     edges: DataFrame,
     damping: float = 0.85,
@@ -90,7 +101,7 @@ def pagerank(
     # edges keep one layout and order for all rounds
     lanes = (
         _lanes(shares, "src", "dst", crowded)
-        .repartition("node", "_part")
+        .repartition(_tasks(shares), "node", "_part")
         .sortWithinPartitions("node", "_part")
         .persist()
     )

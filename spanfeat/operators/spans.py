@@ -1,15 +1,19 @@
 """Look-back operators over time: as-of join, running counts, interval checks.
 
-One entity may own a large share of all rows, so no window here is partitioned by
-the entity alone. The time axis is cut into chunks, rows are partitioned by
-(entity, chunk), and what a chunk must know about earlier chunks reaches it as one
-small carry row, computed from a per-chunk summary. A carry window over the summary
-has at most one row per chunk of the time range, however many rows the entity has.
+One entity may own a large share of all rows, and many rows may share one instant, so
+no window here is partitioned by the entity alone and no wide row goes through one:
+
+1. Look-ups shrink to distinct (entity, instant) pairs, readings to one row per pair.
+2. The time axis is cut into chunks and the pairs are partitioned by (entity, chunk).
+   What a chunk must know about earlier chunks reaches it as one carry row, computed
+   from a summary with at most one row per (entity, chunk).
+3. The answers are joined back to the rows by (entity, instant), an equi-join whose
+   skewed partitions adaptive execution splits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta
 from functools import reduce
 
@@ -21,8 +25,6 @@ from ..functions.checks import as_list, require_columns
 from ..functions.timeexpr import DAY_US, from_micros, micros, span_us
 from ..session import require_utc
 
-# Rows that can match nothing (null key or null time) are spread over this many chunks.
-_SPREAD = 4096
 # Calendar ranges up to this count are tested inside one expression.
 INLINE_RANGES = 64
 
@@ -32,11 +34,6 @@ def _chunk(at: Column, width: int) -> Column:
     return at - F.pmod(at, F.lit(width))
 
 
-def _spread(df: DataFrame) -> Column:
-    """Made-up chunks for rows without a usable key, so that they do not pile up."""
-    return (-1 - F.pmod(F.xxhash64(*df.columns), F.lit(_SPREAD))).cast("long")
-
-
 def _usable(*cols: Column) -> Column:
     return reduce(lambda a, b: a & b, [c.isNotNull() for c in cols])
 
@@ -46,6 +43,56 @@ def _later_chunks(chunk: Column, last: Column, width: int) -> Column:
     return F.when(chunk < last, F.sequence(chunk + width, last, F.lit(width).cast("long")))
 
 
+def _named(names: Sequence[str]) -> list[str]:
+    return [f"_k{i}" for i in range(len(names))]
+
+
+def _instants(df: DataFrame, names: Sequence[str], at: Column, width: int) -> DataFrame:
+    """Distinct usable (keys, _at) of a frame, with their chunk."""
+    keys = _named(names)
+    return (
+        df.select(*[F.col(c).alias(k) for k, c in zip(keys, names, strict=True)], at.alias("_at"))
+        .filter(_usable(*[F.col(k) for k in keys], F.col("_at")))
+        .distinct()
+        .withColumn("_chunk", _chunk(F.col("_at"), width))
+    )
+
+
+def _scan(
+    keys: list[str], probes: DataFrame, points: Sequence[DataFrame], fold: Callable[[str], Column]
+) -> DataFrame:
+    """Fold the values ``_v`` of all points of a probe's chunk up to and at its instant.
+
+    Returns (keys, _at, _found) for every probe.
+    """
+    value_type = points[0].schema["_v"].dataType
+    stacked = probes.select(
+        *keys, "_chunk", "_at", F.lit(1).alias("_side"), F.lit(None).cast(value_type).alias("_v")
+    )
+    for p in points:
+        stacked = stacked.unionByName(
+            p.select(*keys, "_chunk", "_at", F.lit(0).alias("_side"), "_v")
+        )
+    upto = (
+        W.partitionBy(*keys, "_chunk")
+        .orderBy("_at", "_side")
+        .rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
+    return (
+        stacked.withColumn("_found", fold("_v").over(upto))
+        .filter(F.col("_side") == 1)
+        .select(*keys, "_at", "_found")
+    )
+
+
+def _join_back(df: DataFrame, names: Sequence[str], at: Column, answers: DataFrame) -> DataFrame:
+    """Append ``_found`` to every row by its keys and instant; rows without an answer get null."""
+    same = at == F.col("_at")
+    for key, name in zip(_named(names), names, strict=True):
+        same = same & (F.col(name) == F.col(key))
+    return df.join(answers, same, "left")
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -63,30 +110,31 @@ def asof_join(
     Both bounds are inclusive, every left row is kept exactly once, and unmatched rows
     get nulls. ``payload`` maps output names to aggregates such as ``F.avg("x")`` or
     ``F.min("x")``; they combine several readings of one entity at one instant.
-    ``by`` lists key names, or (left name, right name) pairs.
+    ``by`` lists key names, or (left name, right name) pairs. ``chunk`` defaults to an
+    eighth of the look-back window.
     """
     require_utc(left.sparkSession)
     pairs = [(k, k) if isinstance(k, str) else k for k in ([by] if isinstance(by, str) else by)]
-    require_columns(left, [left_ts, *[p[0] for p in pairs]])
-    require_columns(right, [right_ts, *[p[1] for p in pairs]])
+    left_keys, right_keys = [p[0] for p in pairs], [p[1] for p in pairs]
+    require_columns(left, [left_ts, *left_keys])
+    require_columns(right, [right_ts, *right_keys])
     lag, span = span_us(min_lag), span_us(max_age) - span_us(min_lag)
     if span < 0:
         raise ValueError("max_age must not be below min_lag")
     width = span_us(chunk) if chunk else max(span // 8, 60_000_000)
-    keys = [f"_k{i}" for i in range(len(pairs))]
+    keys = _named(left_keys)
     group = [*keys, "_chunk"]
 
     readings = (
-        right.filter(_usable(F.col(right_ts), *[F.col(r) for _, r in pairs]))
-        .withColumns({k: F.col(r) for k, (_, r) in zip(keys, pairs, strict=True)})
+        right.filter(_usable(F.col(right_ts), *[F.col(r) for r in right_keys]))
+        .withColumns({k: F.col(r) for k, r in zip(keys, right_keys, strict=True)})
         .withColumn("_at", micros(right_ts))
         .withColumn("_chunk", _chunk(F.col("_at"), width))
         .groupBy(*group, "_at")
         .agg(*[agg.alias(name) for name, agg in payload.items()])
         .select(*group, "_at", F.struct(F.col("_at").alias("at"), *payload).alias("_v"))
     )
-    value_type = readings.schema["_v"].dataType
-
+    # the last reading of a chunk serves later chunks until the next one that has readings
     order = W.partitionBy(*keys).orderBy("_chunk")
     carry = (
         readings.groupBy(*group)
@@ -99,95 +147,19 @@ def asof_join(
             F.explode(_later_chunks(F.col("_chunk"), F.least("_next", "_last"), width)),
         )
     )
-
     at = micros(left_ts) - F.lit(lag)
-    usable = _usable(F.col(left_ts), *[F.col(p) for p, _ in pairs])
-    probes = left.select(
-        *[F.col(p).alias(k) for k, (p, _) in zip(keys, pairs, strict=True)],
-        F.when(usable, _chunk(at, width)).otherwise(_spread(left)).alias("_chunk"),
-        at.alias("_at"),
-        F.lit(1).alias("_side"),
-        F.lit(None).cast(value_type).alias("_v"),
-        F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("_row"),
-    )
-    row_type = probes.schema["_row"].dataType
-
-    def as_rows(df: DataFrame) -> DataFrame:
-        return df.select(
-            *group, "_at", F.lit(0).alias("_side"), "_v", F.lit(None).cast(row_type).alias("_row")
-        )
-
-    scan = (
-        W.partitionBy(*group).orderBy("_at", "_side").rowsBetween(W.unboundedPreceding, W.currentRow)
+    answers = _scan(
+        keys,
+        _instants(left, left_keys, at, width),
+        [readings, carry],
+        lambda v: F.last(v, ignorenulls=True),
     )
-    # the payload is looked up once per row as a whole struct, then aged out field by field
-    found = (
-        as_rows(readings)
-        .unionByName(as_rows(carry))
-        .unionByName(probes)
-        .withColumn("_hit", F.last("_v", ignorenulls=True).over(scan))
-        .filter(F.col("_side") == 1)
-    )
-    fresh = F.col("_at") - F.col("_hit.at") <= span
-    outputs = [F.when(fresh, F.col(f"_hit.`{c}`")).alias(c) for c in payload]
+    fresh = answers.filter(F.col("_at") - F.col("_found.at") <= span)
+    outputs = [F.col(f"_found.`{c}`").alias(c) for c in payload]
     if matched_ts:
-        outputs.insert(0, F.when(fresh, from_micros(F.col("_hit.at"))).alias(matched_ts))
-    return found.select("_row.*", *outputs)
-
-
-def _running_before(
-    probes: DataFrame,
-    points: DataFrame,
-    keys: list[str],
-    width: int,
-    period: int,
-) -> DataFrame:
-    """Sum of ``_n`` over points of the same key and period at or before each probe.
-
-    ``probes`` has the keys, ``_chunk``, ``_at`` and ``_row``; ``points`` the keys,
-    ``_chunk``, ``_at`` and ``_n``. ``period`` (microseconds) restarts the sum.
-    """
-    group = [*keys, "_chunk"]
-    row_type = probes.schema["_row"].dataType
-    per_chunk = (
-        points.groupBy(*group)
-        .agg(F.sum("_n").alias("_n"))
-        .withColumn("_period", _chunk(F.col("_chunk"), period))
-    )
-    order = W.partitionBy(*keys, "_period").orderBy("_chunk")
-    carry = (
-        per_chunk.withColumn("_next", F.lead("_chunk").over(order))
-        .withColumn("_n", F.sum("_n").over(order))
-        .withColumn("_end", F.col("_period") + F.lit(period - width))
-        .withColumn(
-            "_chunk",
-            F.explode(_later_chunks(F.col("_chunk"), F.least("_next", "_end"), width)),
-        )
-        .withColumn("_at", F.col("_chunk"))
-    )
-
-    def as_rows(df: DataFrame, side: int) -> DataFrame:
-        return df.select(
-            *group,
-            "_at",
-            F.lit(side).alias("_side"),
-            F.col("_n").cast("long").alias("_n"),
-            F.lit(None).cast(row_type).alias("_row"),
-        )
-
-    scan = (
-        W.partitionBy(*group).orderBy("_at", "_side").rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    return (
-        as_rows(points, 0)
-        .unionByName(as_rows(carry, 0))
-        .unionByName(
-            probes.select(
-                *group, "_at", F.lit(1).alias("_side"), F.lit(0).cast("long").alias("_n"), "_row"
-            )
-        )
-        .withColumn("_total", F.sum("_n").over(scan))
-        .filter(F.col("_side") == 1)
+        outputs.insert(0, from_micros(F.col("_found.at")).alias(matched_ts))
+    return _join_back(left, left_keys, at, fresh).select(
+        *[left[f"`{c}`"] for c in left.columns], *outputs
     )
 
 
@@ -215,26 +187,35 @@ def events_so_far(
     width, delay = span_us(chunk), span_us(lag)
     if DAY_US % width:
         raise ValueError("chunk must divide a day")
-    keys = [f"_k{i}" for i in range(len(names))]
+    keys = _named(names)
+    group = [*keys, "_chunk"]
 
-    flagged = points.filter(flag & _usable(F.col(ts), *[F.col(c) for c in names])).select(
-        *[F.col(c).alias(k) for k, c in zip(keys, names, strict=True)],
-        micros(ts).alias("_at"),
-        _chunk(micros(ts), width).alias("_chunk"),
-        F.lit(1).alias("_n"),
+    flagged = (
+        points.filter(flag & _usable(F.col(ts), *[F.col(c) for c in names]))
+        .select(
+            *[F.col(c).alias(k) for k, c in zip(keys, names, strict=True)], micros(ts).alias("_at")
+        )
+        .groupBy(*keys, _chunk(F.col("_at"), width).alias("_chunk"), "_at")
+        .agg(F.count("*").alias("_v"))
     )
-    at = micros(ts) - F.lit(delay)
-    same_day = _chunk(at, DAY_US) == _chunk(micros(ts), DAY_US)
-    usable = same_day & _usable(*[F.col(c) for c in names]) if names else same_day
-    usable = F.coalesce(usable, F.lit(False))
-    probes = df.select(
-        *[F.col(c).alias(k) for k, c in zip(keys, names, strict=True)],
-        F.when(usable, _chunk(at, width)).otherwise(_spread(df)).alias("_chunk"),
-        F.when(usable, at).alias("_at"),
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
+    # the total of the day so far serves later chunks of the day until the next one with events
+    order = W.partitionBy(*keys, "_day").orderBy("_chunk")
+    carry = (
+        flagged.groupBy(*group)
+        .agg(F.sum("_v").alias("_v"))
+        .withColumn("_day", _chunk(F.col("_chunk"), DAY_US))
+        .withColumn("_next", F.lead("_chunk").over(order))
+        .withColumn("_v", F.sum("_v").over(order))
+        .withColumn("_last", F.least("_next", F.col("_day") + F.lit(DAY_US - width)))
+        .withColumn("_chunk", F.explode(_later_chunks(F.col("_chunk"), F.col("_last"), width)))
+        .withColumn("_at", F.col("_chunk"))
     )
-    return _running_before(probes, flagged, keys, width, DAY_US).select(
-        "_row.*", F.when(F.col("_at").isNotNull(), F.col("_total")).otherwise(F.lit(0)).alias(out)
+    now = micros(ts)
+    same_day = _chunk(now - F.lit(delay), DAY_US) == _chunk(now, DAY_US)
+    at = F.when(same_day, now - F.lit(delay))
+    answers = _scan(keys, _instants(df, names, at, width), [flagged, carry], F.sum)
+    return _join_back(df, names, at, answers).select(
+        *[df[f"`{c}`"] for c in df.columns], F.coalesce("_found", F.lit(0)).alias(out)
     )
 
 
@@ -250,8 +231,8 @@ def hub_events_so_far(
 ) -> DataFrame:
     """Flagged events at the hub entities earlier the same day; equal for all rows of an instant.
 
-    ``hubs`` is a one-column frame named like ``entity`` (a top-k result). Rows are
-    spread by minute, since the count is not per entity.
+    ``hubs`` is a one-column frame named like ``entity`` (a top-k result). The count is
+    made once per distinct instant, spread by minute, since it is not per entity.
     """
     at_hubs = df.filter(flag).join(hubs.select(entity).distinct(), entity, "left_semi")
     return events_so_far(df, [], ts, flag, lag, out, points=at_hubs, chunk=chunk)
@@ -262,7 +243,7 @@ def overlapping_intervals(
     by: str | Sequence[str],
     begin: str,
     end: str,
-    tie_break: Sequence[str],
+    tie_break: str,
     out: str = "overlaps",
     chunk: timedelta = timedelta(days=30),
 ) -> DataFrame:
@@ -272,40 +253,48 @@ def overlapping_intervals(
     """
     require_utc(df.sparkSession)
     names = as_list(by)
-    require_columns(df, [*names, begin, end, *tie_break])
+    require_columns(df, [*names, begin, end, tie_break])
     width = span_us(chunk)
-    group = [*names, "_chunk"]
-    rows = df.withColumns(
-        {
-            "_at": micros(begin),
-            "_end": micros(end),
-            "_chunk": F.coalesce(_chunk(micros(begin), width), _spread(df)),
-        }
+    keys = _named(names)
+    group = [*keys, "_chunk"]
+    at = micros(begin)
+    # per start: how far it reaches, and the first row that covers the start itself
+    starts = (
+        df.filter(_usable(F.col(begin), *[F.col(c) for c in names]))
+        .select(
+            *[F.col(c).alias(k) for k, c in zip(keys, names, strict=True)],
+            at.alias("_at"),
+            micros(end).alias("_end"),
+            F.col(tie_break).alias("_tie"),
+        )
+        .groupBy(*keys, _chunk(F.col("_at"), width).alias("_chunk"), "_at")
+        .agg(
+            F.max("_end").alias("_v"),
+            F.min(F.when(F.col("_end") >= F.col("_at"), F.col("_tie"))).alias("_first"),
+        )
     )
-    order = W.partitionBy(*names).orderBy("_chunk")
+    order = W.partitionBy(*keys).orderBy("_chunk")
     carry = (
-        rows.filter(F.col("_at").isNotNull())
-        .groupBy(*group)
-        .agg(F.max("_end").alias("_end"))
-        .withColumn("_end", F.max("_end").over(order))
+        starts.groupBy(*group)
+        .agg(F.max("_v").alias("_v"))
+        .withColumn("_v", F.max("_v").over(order))
         .withColumn("_chunk", F.lead("_chunk").over(order))
         .filter(F.col("_chunk").isNotNull())
-        .withColumn("_carry", F.lit(0))
+        .withColumns({"_at": F.col("_chunk") - 1, "_first": F.lit(None).cast(df.schema[tie_break].dataType)})
     )
-    scan = (
-        W.partitionBy(*group)
-        .orderBy("_carry", "_at", *tie_break)
-        .rowsBetween(W.unboundedPreceding, -1)
+    # a carry row sorts before every start of its chunk
+    earlier = W.partitionBy(*group).orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
+    answers = (
+        starts.withColumn("_start", F.lit(True))
+        .unionByName(carry.withColumn("_start", F.lit(False)))
+        .withColumn("_found", F.struct(F.max("_v").over(earlier).alias("reach"), F.col("_first").alias("first")))
+        .filter("_start")
+        .select(*keys, "_at", "_found")
     )
-    return (
-        rows.withColumn("_carry", F.lit(1))
-        .unionByName(carry, allowMissingColumns=True)
-        .withColumn("_reach", F.max("_end").over(scan))
-        .filter(F.col("_carry") == 1)
-        .select(
-            *df.columns,
-            F.coalesce((F.col("_reach") >= F.col("_at")).cast("int"), F.lit(0)).alias(out),
-        )
+    meets = (F.col("_found.reach") >= at) | (F.col("_found.first") < F.col(tie_break))
+    return _join_back(df, names, at, answers).select(
+        *[df[f"`{c}`"] for c in df.columns],
+        F.when(meets, 1).otherwise(0).alias(out),
     )
 
 
@@ -334,7 +323,7 @@ def range_flag(
 
     A list, or a frame with few ranges (a measured count), becomes a plain expression
     without a shuffle. A longer frame is cut at chunk borders and scanned together with
-    the rows of the chunk.
+    the distinct instants of the chunk.
     """
     if isinstance(ranges, DataFrame):
         few = ranges.select(begin, end).dropna().filter(F.col(begin) <= F.col(end)).limit(inline + 1)
@@ -352,45 +341,24 @@ def range_flag(
 
     require_utc(df.sparkSession)
     width = span_us(chunk)
-    rows = df.select(
-        F.coalesce(_chunk(micros(ts), width), _spread(df)).alias("_chunk"),
-        micros(ts).alias("_at"),
-        F.lit(1).alias("_side"),
-        F.lit(None).cast("long").alias("_end"),
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
-    )
     pieces = (
-        ranges.select(micros(begin).alias("_lo"), micros(end).alias("_end"))
-        .filter(F.col("_lo") <= F.col("_end"))
+        ranges.select(micros(begin).alias("_lo"), micros(end).alias("_v"))
+        .filter(F.col("_lo") <= F.col("_v"))
         .withColumn(
             "_chunk",
             F.explode(
                 F.sequence(
                     _chunk(F.col("_lo"), width),
-                    _chunk(F.col("_end"), width),
+                    _chunk(F.col("_v"), width),
                     F.lit(width).cast("long"),
                 )
             ),
         )
-        .select(
-            "_chunk",
-            F.greatest("_lo", "_chunk").alias("_at"),
-            F.lit(0).alias("_side"),
-            "_end",
-            F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"),
-        )
-    )
-    scan = (
-        W.partitionBy("_chunk")
-        .orderBy("_at", "_side")
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
+        .select("_chunk", F.greatest("_lo", "_chunk").alias("_at"), "_v")
     )
-    return (
-        rows.unionByName(pieces)
-        .withColumn("_reach", F.max("_end").over(scan))
-        .filter(F.col("_side") == 1)
-        .select(
-            "_row.*",
-            F.coalesce((F.col("_reach") >= F.col("_at")).cast("int"), F.lit(0)).alias(out),
-        )
+    at = micros(ts)
+    answers = _scan([], _instants(df, [], at, width), [pieces], F.max)
+    return _join_back(df, [], at, answers).select(
+        *[df[f"`{c}`"] for c in df.columns],
+        F.when(F.col("_found") >= at, 1).otherwise(0).alias(out),
     )

@@ -108,7 +108,7 @@ def overlapping_intervals(spark, folder):
         "o_orderkey", "o_custkey", "o_orderdate", (F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("until")
     )
     return spans.overlapping_intervals(
-        orders, "o_custkey", "o_orderdate", "until", ["o_orderkey"]
+        orders, "o_custkey", "o_orderdate", "until", "o_orderkey"
     ).select("o_orderkey", "overlaps")
 
 

@@ -63,7 +63,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise in the shared checkpoint folder; survives the loss of executors."""
-    checkpoint_root(df.sparkSession)
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

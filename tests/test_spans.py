@@ -170,7 +170,7 @@ def test_overlapping_intervals(spark, rows):
         (9, "a", None, d),
     ]
     df = spark.createDataFrame(data, "id int, k string, b timestamp_ntz, e timestamp_ntz")
-    out = spans.overlapping_intervals(df, "k", "b", "e", ["id"])
+    out = spans.overlapping_intervals(df, "k", "b", "e", "id")
     assert rows(out, "id", "overlaps") == [
         (1, 0), (2, 1), (3, 1), (4, 1), (5, 0), (6, 0), (7, 1), (8, 0), (9, 0),
     ]
