@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from itertools import product
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -221,7 +221,7 @@ def coefficients_table(model: PipelineModel, encoded: DataFrame) -> DataFrame:
 
 def time_series_search(
     folds: DataFrame,
-    make: callable,
+    make: Callable[..., Pipeline],
     grid: Mapping[str, Sequence],
     label: str,
     fold: str = "fold",

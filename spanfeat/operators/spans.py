@@ -93,38 +93,18 @@ def _join_back(df: DataFrame, names: Sequence[str], at: Column, answers: DataFra
     return df.join(answers, same, "left")
 
 
-def asof_join(
-    left: DataFrame,
+def _latest(
+    instants: DataFrame,
     right: DataFrame,
-    by: Sequence[tuple[str, str]] | Sequence[str] | str,
-    left_ts: str,
+    right_keys: Sequence[str],
     right_ts: str,
     payload: Mapping[str, Column],
-    min_lag: timedelta = timedelta(hours=2),
-    max_age: timedelta = timedelta(hours=50),
-    matched_ts: str | None = "matched_ts",
-    chunk: timedelta | None = None,
+    span: int,
+    width: int,
 ) -> DataFrame:
-    """Attach the latest reading at least ``min_lag`` and at most ``max_age`` old.
-
-    Both bounds are inclusive, every left row is kept exactly once, and unmatched rows
-    get nulls. ``payload`` maps output names to aggregates such as ``F.avg("x")`` or
-    ``F.min("x")``; they combine several readings of one entity at one instant.
-    ``by`` lists key names, or (left name, right name) pairs. ``chunk`` defaults to an
-    eighth of the look-back window.
-    """
-    require_utc(left.sparkSession)
-    pairs = [(k, k) if isinstance(k, str) else k for k in ([by] if isinstance(by, str) else by)]
-    left_keys, right_keys = [p[0] for p in pairs], [p[1] for p in pairs]
-    require_columns(left, [left_ts, *left_keys])
-    require_columns(right, [right_ts, *right_keys])
-    lag, span = span_us(min_lag), span_us(max_age) - span_us(min_lag)
-    if span < 0:
-        raise ValueError("max_age must not be below min_lag")
-    width = span_us(chunk) if chunk else max(span // 8, 60_000_000)
-    keys = _named(left_keys)
+    """Latest reading at or before each instant and at most ``span`` older, as ``_found``."""
+    keys = _named(right_keys)
     group = [*keys, "_chunk"]
-
     readings = (
         right.filter(_usable(F.col(right_ts), *[F.col(r) for r in right_keys]))
         .withColumns({k: F.col(r) for k, r in zip(keys, right_keys, strict=True)})
@@ -147,22 +127,91 @@ def asof_join(
             F.explode(_later_chunks(F.col("_chunk"), F.least("_next", "_last"), width)),
         )
     )
-    at = micros(left_ts) - F.lit(lag)
-    answers = _scan(
-        keys,
-        _instants(left, left_keys, at, width),
-        [readings, carry],
-        lambda v: F.last(v, ignorenulls=True),
-    )
-    fresh = answers.filter(F.col("_at") - F.col("_found.at") <= span)
-    outputs = [F.col(f"_found.`{c}`").alias(c) for c in payload]
-    if matched_ts:
-        outputs.insert(0, from_micros(F.col("_found.at")).alias(matched_ts))
-    return _join_back(left, left_keys, at, fresh).select(
-        *[left[f"`{c}`"] for c in left.columns], *outputs
+    answers = _scan(keys, instants, [readings, carry], lambda v: F.last(v, ignorenulls=True))
+    return answers.filter(F.col("_at") - F.col("_found.at") <= span)
+
+
+def asof_join(
+    left: DataFrame,
+    right: DataFrame,
+    by: Sequence[tuple[str, str]] | Sequence[str] | str,
+    left_ts: str,
+    right_ts: str,
+    payload: Mapping[str, Column],
+    min_lag: timedelta = timedelta(hours=2),
+    max_age: timedelta = timedelta(hours=50),
+    matched_ts: str | None = "matched_ts",
+    chunk: timedelta | None = None,
+) -> DataFrame:
+    """Attach the latest reading at least ``min_lag`` and at most ``max_age`` old.
+
+    Both bounds are inclusive, every left row is kept exactly once, and unmatched rows
+    get nulls. ``payload`` maps output names to aggregates such as ``F.avg("x")`` or
+    ``F.min("x")``; they combine several readings of one entity at one instant.
+    ``by`` lists key names, or (left name, right name) pairs. ``chunk`` defaults to an
+    eighth of the look-back window.
+    """
+    pairs = [(k, k) if isinstance(k, str) else k for k in ([by] if isinstance(by, str) else by)]
+    left_keys, right_keys = [p[0] for p in pairs], [p[1] for p in pairs]
+    return asof_join_roles(
+        left,
+        right,
+        {"": left_keys},
+        right_keys,
+        left_ts,
+        right_ts,
+        payload,
+        min_lag,
+        max_age,
+        "{role}" + matched_ts if matched_ts else None,
+        "{name}",
+        chunk,
     )
 
 
+def asof_join_roles(
+    left: DataFrame,
+    right: DataFrame,
+    roles: Mapping[str, str | Sequence[str]],
+    right_keys: str | Sequence[str],
+    left_ts: str,
+    right_ts: str,
+    payload: Mapping[str, Column],
+    min_lag: timedelta = timedelta(hours=2),
+    max_age: timedelta = timedelta(hours=50),
+    matched_ts: str | None = "{role}_MAX_DATE",
+    name: str = "{name}_{role}",
+    chunk: timedelta | None = None,
+) -> DataFrame:
+    """As-of join of one reading table in several roles, e.g. at origin and destination.
+
+    ``roles`` maps a role to its key columns on the left; ``matched_ts`` and ``name``
+    are patterns for the output names. The instants of all roles are answered by one
+    scan of the readings. See ``asof_join`` for the bounds.
+    """
+    require_utc(left.sparkSession)
+    roles, right_keys = {r: as_list(k) for r, k in roles.items()}, as_list(right_keys)
+    require_columns(left, [left_ts, *[c for names in roles.values() for c in names]])
+    require_columns(right, [right_ts, *right_keys])
+    lag, span = span_us(min_lag), span_us(max_age) - span_us(min_lag)
+    if span < 0:
+        raise ValueError("max_age must not be below min_lag")
+    width = span_us(chunk) if chunk else max(span // 8, 60_000_000)
+    at = micros(left_ts) - F.lit(lag)
+
+    asked = [_instants(left, names, at, width) for names in roles.values()]
+    instants = asked[0] if len(asked) == 1 else reduce(DataFrame.unionByName, asked).distinct()
+    answers = _latest(instants, right, right_keys, right_ts, payload, span, width)
+    out = left
+    for role, names in roles.items():
+        outputs = [F.col(f"_found.`{c}`").alias(name.format(name=c, role=role)) for c in payload]
+        if matched_ts:
+            outputs.insert(0, from_micros(F.col("_found.at")).alias(matched_ts.format(role=role)))
+        joined = _join_back(out, names, at, answers)
+        out = joined.select(*[out[f"`{c}`"] for c in out.columns], *outputs)
+    return out
+
+
 def events_so_far(
     df: DataFrame,
     by: str | Sequence[str],

@@ -174,24 +174,17 @@ def attach_weather(
     out = timeexpr.lookback_bounds(
         flights, "ORIGIN_UTC", min_lag, max_age, "ORIGIN_UTC_ADJ_MIN", "ORIGIN_UTC_ADJ_MAX"
     )
-    for role in ("ORIGIN", "DEST"):
-        payload = {
-            f"{name}_{role}": _metric(kind, name)
-            for kinds in WEATHER_METRICS.values()
-            for kind, name in kinds.items()
-        }
-        out = spans.asof_join(
-            out,
-            weather,
-            [(f"{role}_STATION", "STATION")],
-            "ORIGIN_UTC",
-            "DATE",
-            payload,
-            min_lag,
-            max_age,
-            matched_ts=f"{role}_MAX_DATE",
-        )
-    return out
+    return spans.asof_join_roles(
+        out,
+        weather,
+        {"ORIGIN": "ORIGIN_STATION", "DEST": "DEST_STATION"},
+        "STATION",
+        "ORIGIN_UTC",
+        "DATE",
+        {n: _metric(kind, n) for kinds in WEATHER_METRICS.values() for kind, n in kinds.items()},
+        min_lag,
+        max_age,
+    )
 
 
 def flight_features(

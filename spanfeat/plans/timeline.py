@@ -41,6 +41,48 @@ def asof_lookback(spark, folder):
     ).withColumn("avg_view", F.round("avg_view", 6))
 
 
+@query(
+    "asof_two_roles",
+    """
+    WITH n AS (SELECT count(DISTINCT user_id) AS k FROM events),
+         p AS (SELECT event_id, user_id, (user_id * 7 + 3) % k AS peer, ts FROM events, n
+               WHERE event_type = 'purchase'),
+         r AS (SELECT user_id, ts, avg(value) AS v FROM events WHERE event_type = 'view' GROUP BY user_id, ts),
+         a AS (SELECT p.event_id, max(r.ts) AS t FROM p JOIN r ON r.user_id = p.user_id
+               AND r.ts BETWEEN p.ts - INTERVAL 50 HOUR AND p.ts - INTERVAL 2 HOUR GROUP BY p.event_id),
+         b AS (SELECT p.event_id, max(r.ts) AS t FROM p JOIN r ON r.user_id = p.peer
+               AND r.ts BETWEEN p.ts - INTERVAL 50 HOUR AND p.ts - INTERVAL 2 HOUR GROUP BY p.event_id)
+    SELECT p.event_id, a.t AS own_ts, round(x.v, 6) AS value_own, b.t AS peer_ts, round(y.v, 6) AS value_peer
+    FROM p LEFT JOIN a ON a.event_id = p.event_id LEFT JOIN b ON b.event_id = p.event_id
+    LEFT JOIN r x ON x.user_id = p.user_id AND x.ts = a.t LEFT JOIN r y ON y.user_id = p.peer AND y.ts = b.t
+    """,
+)
+def asof_two_roles(spark, folder):
+    """Latest view of the buyer and of a fixed other user, from one scan of the views."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "ts", "value", "event_type")
+    size = events.agg(F.count_distinct("user_id")).first()[0]
+    purchases = events.filter(F.col("event_type") == "purchase").select(
+        "event_id", "ts", "user_id", F.pmod(F.col("user_id") * 7 + 3, F.lit(size)).alias("peer")
+    )
+    out = spans.asof_join_roles(
+        purchases,
+        events.filter(F.col("event_type") == "view"),
+        {"own": "user_id", "peer": "peer"},
+        "user_id",
+        "ts",
+        "ts",
+        {"value": F.avg("value")},
+        matched_ts="{role}_ts",
+    )
+    return out.select(
+        "event_id",
+        "own_ts",
+        F.round("value_own", 6).alias("value_own"),
+        "peer_ts",
+        F.round("value_peer", 6).alias("value_peer"),
+    )
+
+
 @query(
     "lookback_bounds",
     """

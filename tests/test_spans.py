@@ -90,6 +90,23 @@ def test_asof_different_key_names_and_extra_columns(spark):
     assert out.first()["v"] == 3
 
 
+def test_asof_roles_equal_single_joins(spark, rows):
+    rnd = Random(11)
+    t = [T0 + timedelta(minutes=rnd.randrange(0, 9000, 17)) for _ in range(200)]
+    left = spark.createDataFrame(
+        [(i, rnd.choice("abc"), rnd.choice(["a", "b", "d", None]), t[i]) for i in range(100)],
+        "id int, o string, d string, ts timestamp_ntz",
+    )
+    right = spark.createDataFrame(
+        [(rnd.choice("abd"), t[100 + i], float(i)) for i in range(100)], "k string, ts timestamp_ntz, v double"
+    )
+    both = spans.asof_join_roles(left, right, {"O": "o", "D": "d"}, "k", "ts", "ts", {"v": F.avg("v")})
+    assert both.columns == ["id", "o", "d", "ts", "O_MAX_DATE", "v_O", "D_MAX_DATE", "v_D"]
+    for role, key in (("O", "o"), ("D", "d")):
+        one = spans.asof_join(left, right, [(key, "k")], "ts", "ts", {"v": F.avg("v")})
+        assert rows(both, "id", f"{role}_MAX_DATE", f"v_{role}") == rows(one, "id", "matched_ts", "v")
+
+
 def so_far(spark, events, lag=2 * H, **kw):
     df = spark.createDataFrame(events, "id int, k string, ts timestamp_ntz, late int")
     out = spans.events_so_far(df, "k", "ts", F.col("late") == 1, lag, "n", **kw)
