@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 DAY_US = 86_400_000_000
 HOUR_US = 3_600_000_000
@@ -17,6 +18,14 @@ def span_us(span: timedelta) -> int:
     return span // timedelta(microseconds=1)
 
 
+def instant(when: datetime, kind: DataType | str = "timestamp_ntz") -> Column:
+    """Literal instant of a column's own type, whatever the driver's local zone.
+
+    It folds to a constant, so comparisons with it reach the parquet reader.
+    """
+    return F.lit(when.isoformat(sep=" ")).cast("timestamp_ntz").cast(kind)
+
+
 def micros(col: Column | str) -> Column:
     """Microseconds since the epoch, for timestamp and timestamp_ntz (UTC session)."""
     col = F.col(col) if isinstance(col, str) else col

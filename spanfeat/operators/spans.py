@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.checks import as_list, require_columns
-from ..functions.timeexpr import DAY_US, from_micros, micros, span_us
+from ..functions.timeexpr import DAY_US, from_micros, instant, micros, span_us
 from ..session import require_utc
 
 # Calendar ranges up to this count are tested inside one expression.
@@ -382,7 +382,7 @@ def range_flag(
     if not isinstance(ranges, DataFrame):
         kind = df.schema[ts].dataType
         tests = [
-            F.col(ts).between(F.lit(lo).cast(kind), F.lit(hi).cast(kind))
+            F.col(ts).between(instant(lo, kind), instant(hi, kind))
             for lo, hi in merge_ranges(ranges)
         ]
         inside = reduce(lambda a, b: a | b, tests) if tests else F.lit(False)

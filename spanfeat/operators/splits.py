@@ -8,10 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def instant(df: DataFrame, ts: str, when: datetime) -> Column:
-    """Literal of the column's own type, so that parquet statistics can be used."""
-    return F.lit(when).cast(df.schema[ts].dataType)
+from ..functions.timeexpr import instant
 
 
 def slice_between(
@@ -19,8 +16,8 @@ def slice_between(
 ) -> DataFrame:
     """Rows with ``begin <= ts < end``; plain comparisons that reach the scan."""
     if begin is not None:
-        df = df.filter(F.col(ts) >= instant(df, ts, begin))
-    return df.filter(F.col(ts) < instant(df, ts, end)) if end is not None else df
+        df = df.filter(F.col(ts) >= instant(begin, df.schema[ts].dataType))
+    return df.filter(F.col(ts) < instant(end, df.schema[ts].dataType)) if end is not None else df
 
 
 def temporal_split(
@@ -33,9 +30,10 @@ def temporal_split(
     """Name the time slice of each row; slice i ends before cut i. A null time gives null."""
     if len(names) != len(cuts) + 1:
         raise ValueError("one name more than cuts")
+    kind = df.schema[ts].dataType
     label = F.when(F.col(ts).isNull(), F.lit(None).cast("string"))
     for name, cut in zip(names, cuts, strict=False):
-        label = label.when(F.col(ts) < instant(df, ts, cut), F.lit(name))
+        label = label.when(F.col(ts) < instant(cut, kind), F.lit(name))
     return df.withColumn(out, label.otherwise(F.lit(names[-1])))
 
 
@@ -46,8 +44,10 @@ def rolling_splits(
 
     A fold trains on the ``train_years`` years before its test year.
     """
+    kind = df.schema[ts].dataType
+
     def year_start(year: int) -> Column:
-        return instant(df, ts, datetime(year, 1, 1))
+        return instant(datetime(year, 1, 1), kind)
 
     folds = []
     for year in range(first_test_year, last_test_year + 1, step):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import learning, metrics, stats
 from ..operators.splits import slice_between
+from ..session import staged
 from ..streaming import scoring
 from .catalog import query, table
 
@@ -213,7 +214,8 @@ def order_features(spark, folder):
 
 
 def weighted_training(spark, folder):
-    train = slice_between(order_features(spark, folder), "o_orderdate", end=CUT)
+    """Training rows with class weights; a stage table, since fitting reads them many times."""
+    train = staged(slice_between(order_features(spark, folder), "o_orderdate", end=CUT), "train")
     return stats.with_class_weights(train, stats.class_weights(train, "label"), "label")
 
 

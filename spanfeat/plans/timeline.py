@@ -190,7 +190,7 @@ def calendar_range_flag(spark, folder):
 )
 def calendar_range_table(spark, folder):
     first_day = F.pmod(F.col("s_suppkey") * 131, F.lit(2400)).cast("int")
-    epoch = F.lit(datetime(1995, 1, 1)).cast("timestamp_ntz")
+    epoch = timeexpr.instant(datetime(1995, 1, 1))
     ranges = table(spark, folder, "supplier").select(
         (epoch + F.make_dt_interval(first_day)).alias("begin"),
         (epoch + F.make_dt_interval(first_day + F.pmod("s_suppkey", F.lit(5)).cast("int"))).alias("end"),

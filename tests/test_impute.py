@@ -4,7 +4,7 @@ from random import Random
 import pytest
 from pyspark.sql import functions as F
 
-from spanfeat.operators import impute
+from spanfeat.operators import geo, impute
 from spanfeat.operators.impute import ImputationModel, Measure
 
 T = datetime(2024, 1, 1, 10)
@@ -128,3 +128,31 @@ def test_all_null_column_stays_null_when_never_seen(spark):
         train, impute.fit_group_stats(train, "k", {"m": F.avg("x")})
     )
     assert model.transform(train).first()["x"] is None
+
+
+def test_places_give_the_same_fill_as_sensors(spark):
+    rnd = Random(7)
+    spots = [(40.0, -75.0), (40.2, -75.1), (44.0, -80.0)]
+    points = spark.createDataFrame(
+        [(f"s{i}", *spots[0 if i < 6 else rnd.randrange(3)]) for i in range(10)], "st string, lat double, lon double"
+    )
+    df = spark.createDataFrame(
+        [
+            (i, f"s{rnd.randrange(10)}", T + timedelta(minutes=rnd.randrange(200)), rnd.choice([None, float(rnd.randrange(40))]), "1")
+            for i in range(150)
+        ],
+        SCHEMA,
+    )
+
+    def filled(frame, places, key):
+        bridge = geo.radius_neighbors(places, key, "lat", "lon", 50.0).select(
+            F.col(key).alias("station_id"), "neighbor_id"
+        )
+        out = impute.impute_neighbors(frame, bridge, key, "ts", [Measure("v", "q")], ["id"])
+        return {r.id: r.v for r in out.collect()}
+
+    at = geo.colocated(points, "st", "lat", "lon")
+    places = at.select("place", "lat", "lon").distinct()
+    assert places.count() == 3
+    by_place = filled(df.join(at.select("st", "place"), "st"), places, "place")
+    assert by_place == pytest.approx(filled(df, points, "st"))
