@@ -45,3 +45,14 @@ def text_rows(df: DataFrame, fn: Callable[..., Iterator[tuple]], cols: list[str]
 def row_key(*cols: str):
     """64-bit key of a row's identity; rows that agree in these columns are interchangeable."""
     return F.xxhash64(*cols)
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of staged tables that nothing reads any more."""
+    for df in frames:
+        files = df.inputFiles()
+        if not files:
+            continue
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanfeat.llm.common import row_key, text_rows
+from spanfeat.llm.common import release, row_key, text_rows
 from spanfeat.session import staged
 
 SEED = 32
@@ -120,13 +120,21 @@ def reaches(lefts: list[bytes], rights: list[bytes], min_len: int) -> list[tuple
     return best
 
 
+def ranges(min_len: int) -> list[tuple[int, int]]:
+    """Groups (low, high) of window offsets, about the square root of their number wide."""
+    count = min_len - SEED + 1
+    wide = int(count**0.5)
+    return [(k, min(k + wide, count) - 1) for k in range(0, count, wide)]
+
+
 def repeated_spans(docs: DataFrame, min_len: int = 200, crowd: int = 1024) -> DataFrame:
     """Rows (key, pos, ahead, behind): bytes [pos-ahead, pos+behind) are covered by repeats.
 
     ``key`` is the xxhash64 of (doc_id, text). Contexts that are equal are counted before
-    they are shuffled, so copies meet as one row. A bucket of more than ``crowd`` distinct
-    contexts is dealt out by (anchor, window hash) instead of into one array: each of its
-    windows is counted on its own, with the same result.
+    they are shuffled, so copies meet as one row; a bucket of one context needs no array. A
+    bucket of more than ``crowd`` distinct contexts is dealt out by (anchor, hash): first by
+    what a group of neighbouring window offsets has in common, and for groups that repeat by
+    the window itself, with the same result as one array.
     """
     before, after = min_len - SEED, min_len
 
@@ -134,23 +142,35 @@ def repeated_spans(docs: DataFrame, min_len: int = 200, crowd: int = 1024) -> Da
         data = (text or "").encode()
         at, h = anchors(data, min_len)
         for p in at.tolist():
-            piece = hashlib.blake2b(data[max(0, p - before) : p + after], digest_size=8)
-            piece.update(bytes([min(p, before) & 255, 1 if p > before else 0]))
-            yield key, p, int(h[p].astype(np.int64)), int.from_bytes(piece.digest(), "little", signed=True)
+            left = min(p, before)
+            piece = data[p - left : p + after]
+            digest = hashlib.blake2b(piece, digest_size=8, salt=left.to_bytes(4, "little")).digest()
+            yield key, p, int(h[p].astype(np.int64)), int.from_bytes(digest, "little", signed=True), left, len(piece) - left
 
     base = docs.select(row_key("doc_id", "text").alias("key"), "text")
     places = staged(
-        text_rows(base, find, ["key", "text"], "key long, pos int, seed long, context long"), "anchors"
+        text_rows(
+            base, find, ["key", "text"],
+            "key long, pos int, seed long, context long, ahead int, behind int",
+        ),
+        "anchors",
     )
-    kinds = places.groupBy("seed", "context").agg(F.count("*").alias("copies"))
-    seeds = kinds.groupBy("seed").agg(F.sum("copies").alias("n"), F.count("*").alias("contexts")).filter("n > 1")
-    seeds = staged(seeds, "seeds")
-    hot = places.join(seeds, "seed")
-    # one place per distinct context is enough to know the context's bytes
-    chosen = hot.groupBy("seed", "context", "contexts").agg(
-        F.min(F.struct("key", "pos")).alias("at"), F.count("*").alias("copies")
+    seeds = staged(places.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed"), "seeds")
+    hot = staged(places.join(seeds, "seed"), "repeats")
+    release(places, seeds)
+    chosen = staged(
+        hot.groupBy("seed", "context").agg(
+            F.min(F.struct("key", "pos")).alias("at"), F.count("*").alias("copies"),
+            F.first("ahead").alias("ahead"), F.first("behind").alias("behind"),
+        ),
+        "kinds",
     )
-    wanted = chosen.groupBy(F.col("at.key").alias("key")).agg(
+    sizes = staged(chosen.groupBy("seed").agg(F.count("*").alias("contexts")).filter("contexts > 1"), "sizes")
+    # equal contexts: covered whole
+    whole = chosen.filter("copies > 1").select("seed", "context", "ahead", "behind")
+    # one place per distinct context is enough to know the context's bytes
+    several = chosen.join(sizes, "seed")
+    wanted = several.groupBy(F.col("at.key").alias("key")).agg(
         F.collect_list(F.struct("at.pos", "seed", "context", "contexts", "copies")).alias("wanted")
     )
 
@@ -174,17 +194,14 @@ def repeated_spans(docs: DataFrame, min_len: int = 200, crowd: int = 1024) -> Da
         import pandas as pd
 
         def solve(seed, rows):
-            found = reaches([r[2] for r in rows], [r[3] for r in rows], min_len) if len(rows) > 1 else [(0, 0)]
-            for (context, copies, left, right), (a, b) in zip(rows, found):
-                if copies > 1 and len(left) + len(right) >= min_len:
-                    a, b = len(left), len(right)
+            for (context, _, _), (a, b) in zip(rows, reaches([r[1] for r in rows], [r[2] for r in rows], min_len)):
                 if a + b >= min_len:
                     yield seed, context, a, b
 
         seed, rows = None, []
         for pdf in batches:
             out = []
-            for r in zip(pdf["seed"], pdf["context"], pdf["copies"], pdf["left"], pdf["right"]):
+            for r in zip(pdf["seed"], pdf["context"], pdf["left"], pdf["right"]):
                 if r[0] != seed and rows:
                     out.extend(solve(seed, rows))
                     rows = []
@@ -194,31 +211,57 @@ def repeated_spans(docs: DataFrame, min_len: int = 200, crowd: int = 1024) -> Da
         if rows:
             yield pd.DataFrame(list(solve(seed, rows)), columns=["seed", "context", "ahead", "behind"])
 
-    reach_schema = "seed long, context long, ahead int, behind int"
     quiet = (
-        contexts.filter("NOT crowded").repartition("seed").sortWithinPartitions("seed")
-        .mapInPandas(arrays, reach_schema)
+        contexts.filter("NOT crowded").select("seed", "context", "left", "right")
+        .repartition("seed").sortWithinPartitions("seed")
+        .mapInPandas(arrays, "seed long, context long, ahead int, behind int")
     )
+    crowded = contexts.filter("crowded")
+    groups = ranges(min_len)
+
+    def coarse(seed, context, left, right):
+        for g, (low, high) in enumerate(groups):
+            if len(left) >= low and len(right) >= min_len - high:
+                digest = hashlib.blake2b(left[:low] + right[: min_len - high], digest_size=8).digest()
+                yield seed, context, g, int.from_bytes(digest, "little", signed=True)
 
-    def windows(seed, context, copies, left, right):
-        data = left[::-1] + right
+    shares = text_rows(
+        crowded, coarse, ["seed", "context", "left", "right"], "seed long, context long, part int, mark long"
+    )
+    shared = staged(
+        shares.groupBy("seed", "part", "mark").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "shared"
+    )
+    likely = shares.join(shared, ["seed", "part", "mark"]).groupBy("seed", "context").agg(
+        F.collect_set("part").alias("parts")
+    )
+
+    def windows(seed, context, left, right, parts):
+        data, have = left[::-1] + right, len(left)
         h = window_hashes(data, min_len)
-        for i in range(len(h)):
-            if i <= len(left) <= i + min_len - SEED:
-                yield seed, context, copies, len(left) - i, int(h[i].astype(np.int64))
+        for low, high in (groups[g] for g in parts):
+            for ahead in range(low, high + 1):
+                if ahead <= have and have - ahead < len(h):
+                    yield seed, context, ahead, int(h[have - ahead].astype(np.int64))
 
-    dealt = text_rows(
-        contexts.filter("crowded"), windows, ["seed", "context", "copies", "left", "right"],
-        "seed long, context long, copies long, ahead int, window long",
+    dealt = staged(
+        text_rows(
+            crowded.join(likely, ["seed", "context"]), windows, ["seed", "context", "left", "right", "parts"],
+            "seed long, context long, ahead int, window long",
+        ),
+        "windows",
     )
     often = staged(
-        dealt.groupBy("seed", "ahead", "window").agg(F.sum("copies").alias("n")).filter("n > 1").drop("n"), "often"
+        dealt.groupBy("seed", "ahead", "window").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "often"
     )
     loud = dealt.join(often, ["seed", "ahead", "window"]).groupBy("seed", "context").agg(
         F.max("ahead").alias("ahead"), (min_len - F.min("ahead")).cast("int").alias("behind")
     )
-    reach = staged(quiet.unionByName(loud), "reach")
-    return places.join(reach, ["seed", "context"]).select("key", "pos", "ahead", "behind")
+    reach = whole.unionByName(quiet).unionByName(loud).groupBy("seed", "context").agg(
+        F.max("ahead").alias("ahead"), F.max("behind").alias("behind")
+    )
+    reach = staged(reach, "reach")
+    release(chosen, sizes, contexts, shared, dealt, often)
+    return hot.drop("ahead", "behind").join(reach, ["seed", "context"]).select("key", "pos", "ahead", "behind")
 
 
 def suffix_dedup(docs: DataFrame, min_len: int = 200, crowd: int = 1024) -> DataFrame:
