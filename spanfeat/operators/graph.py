@@ -78,7 +78,7 @@ def pagerank(
     Mass of nodes without out-edges is spread evenly: the linear system is iterated
     without it and the result normalised, which has the same solution. The lineage is
     cut every few rounds, where the L1 change is tested against ``tol`` (``tol=None``
-    runs exactly ``max_iter`` rounds). Only that sum and the node count reach the driver.
+    runs exactly ``max_iter`` rounds); with ``tol`` unmet after ``max_iter`` rounds it raises. Only that sum and the node count reach the driver.
     """
     require_columns(edges, ["src", "dst", weight])
     summed = (
@@ -127,6 +127,9 @@ def pagerank(
             )
             if change < tol:
                 break
+    else:
+        if tol is not None:
+            raise RuntimeError(f"PageRank did not settle in {max_iter} rounds")
     lanes.unpersist()
     total = ranks.agg(F.sum("rank")).first()[0]
     return ranks.select("node", (F.col("rank") / F.lit(total)).alias("rank"))

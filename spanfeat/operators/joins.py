@@ -89,6 +89,8 @@ def full_outer_merge(
 ) -> DataFrame:
     """Full outer join of measure tables, each with one row per key.
 
+    A second value for a key in one table raises an error when the result is computed.
+
     ``frames`` maps a measure column to its frame (keys plus that column). All frames
     are stacked and grouped once instead of joined pairwise. With ``null_safe=False``
     rows with a null in any key stay separate, as plain equality would keep them.
@@ -108,7 +110,11 @@ def full_outer_merge(
     )
 
     def grouped(part: DataFrame) -> DataFrame:
-        return part.groupBy(*keys).agg(*[F.max(m).alias(m) for m in frames])
+        def only(m: str):
+            several = F.raise_error(F.lit(f"several values of {m} for one key"))
+            return F.when(F.count(m) > 1, several).otherwise(F.max(m)).alias(m)
+
+        return part.groupBy(*keys).agg(*[only(m) for m in frames])
 
     if null_safe:
         return grouped(stacked)

@@ -56,16 +56,23 @@ def filter_outliers(
     low: float | None = None,
     high: float | None = None,
     iqr_k: float | None = None,
+    keep_null: bool = True,
 ) -> DataFrame:
-    """Keep values inside fixed bounds, or inside k interquartile ranges of the quartiles."""
+    """Keep values inside fixed bounds, or inside k interquartile ranges of the quartiles.
+
+    Rows without a value stay, unless ``keep_null`` is off.
+    """
     if iqr_k is not None:
         q1, q3 = exact_quantiles(df, col, [0.25, 0.75])
         if q1 is None:
-            return df
+            return df if keep_null else df.filter(F.col(col).isNotNull())
         low, high = q1 - iqr_k * (q3 - q1), q3 + iqr_k * (q3 - q1)
+    inside = F.col(col).isNotNull()
     if low is not None:
-        df = df.filter(F.col(col) >= low)
-    return df.filter(F.col(col) <= high) if high is not None else df
+        inside &= F.col(col) >= low
+    if high is not None:
+        inside &= F.col(col) <= high
+    return df.filter(inside | F.col(col).isNull() if keep_null else inside)
 
 
 def loss_report(before: DataFrame, after: DataFrame) -> DataFrame:

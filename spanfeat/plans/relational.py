@@ -12,14 +12,17 @@ from ..operators import joins, ordering, quality, stats
 from ..sources import readers
 from .catalog import query, table
 
-PROFILED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+PROFILED = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 @query(
     "scan_profile",
     " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows, {n}::BIGINT AS n_cols FROM {t}"
-        for t, n in zip(PROFILED, (2, 3, 5, 4, 6, 6, 11, 6), strict=True)
+        for t, n in zip(PROFILED, (2, 3, 5, 4, 6, 6, 11, 6, 5, 3, 3, 2, 3, 4), strict=True)
     ),
 )
 def scan_profile(spark, folder):

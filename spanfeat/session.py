@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -53,7 +54,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current is None:
         if configured is None:
-            if not sc.master.startswith("local"):
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             configured = tempfile.mkdtemp(prefix="spanfeat-ckpt-")
         sc.setCheckpointDir(configured)

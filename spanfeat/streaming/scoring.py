@@ -34,9 +34,12 @@ def training_defaults(train: DataFrame, num: Sequence[str], cat: Sequence[str])
 
 
 def parse_requests(lines: DataFrame, value: str, schema: str) -> DataFrame:
-    """Request records from JSON text; missing keys and malformed records give nulls."""
-    parsed = F.from_json(F.col(value).cast("string"), schema, {"mode": "PERMISSIVE"})
-    return lines.withColumn("_request", parsed).select(
+    """Request records from JSON text, one row each; a text may hold one record or an array.
+
+    Missing keys and malformed records give nulls.
+    """
+    parsed = F.from_json(F.col(value).cast("string"), f"array<struct<{schema}>>", {"mode": "PERMISSIVE"})
+    return lines.withColumn("_request", F.explode_outer(parsed)).select(
         *[c for c in lines.columns if c != value], "_request.*"
     )
 
