@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import os
+import re
+import struct
 import zlib
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -13,6 +18,60 @@ from spanfeat.session import staged
 
 END = 1
 BUCKETS, DIMS, BITS = 256, 3, 10
+# Words whose ids a worker remembers, and the longest of them.
+KNOWN_WORDS, KNOWN_CHARS = 400_000, 64
+# Fixed value: a pre-tokenizer under which white space parts words and is dropped.
+APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Parts of a text that it encodes alike together or apart: ASCII digits, ASCII letters
+# before an ASCII character that is no letter, and else what stands between white space.
+_PART = re.compile(r"[0-9]|[A-Za-z]++(?![^ \t\n\r!-~])|[^0-9 \t\n\r]+")
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str):
+    """Function from a text to its ids as little-endian 32-bit numbers.
+
+    Where the vocabulary splits as ``APART`` does, a text is encoded part by part and the
+    ids of parts seen before are looked up; the table is emptied when full. Other
+    vocabularies encode whole texts.
+    """
+    # one task per core already; threads inside would only wait for each other
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    splits = (json.loads(tok.to_str())["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+    known: dict[str, bytes] = {}
+
+    def pack_ids(e) -> bytes:
+        return struct.pack(f"<{len(e.ids)}I", *e.ids)
+
+    def whole(text: str) -> bytes:
+        return pack_ids(tok.encode(text, add_special_tokens=False))
+
+    def by_parts(text: str) -> bytes:
+        if "<|" in text:  # may hold a special token
+            return whole(text)
+        parts = _PART.findall(text)
+        new = [w for w in set(parts) if w not in known]
+        if len(known) + len(new) > KNOWN_WORDS:
+            known.clear()
+            new = list(set(parts))
+        known.update(zip(new, map(pack_ids, tok.encode_batch_fast(new, add_special_tokens=False))))
+        out = b"".join([known[w] for w in parts])
+        for w in new:
+            if len(w) > KNOWN_CHARS:
+                del known[w]
+        return out
+
+    first = splits[0]
+    apart = first.get("pattern") == {"Regex": APART} and first.get("behavior") == "Removed" and first.get("invert")
+    return by_parts if apart else whole
+
+
+@lru_cache(maxsize=1)
+def _signs() -> np.ndarray:
+    return np.random.default_rng(5).standard_normal((BUCKETS, DIMS))
 
 
 def hilbert_key(point: np.ndarray, bits: int = BITS) -> int:
@@ -50,8 +109,7 @@ def cell(ids: np.ndarray) -> np.ndarray:
         return np.zeros(DIMS, int)
     slot = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)
     vector = np.bincount(slot.astype(np.int64), minlength=BUCKETS) / len(ids)
-    signs = np.random.default_rng(5).standard_normal((BUCKETS, DIMS))
-    return (((np.tanh(vector @ signs * 4) + 1) / 2) * ((1 << BITS) - 1)).astype(int)
+    return (((np.tanh(vector @ _signs() * 4) + 1) / 2) * ((1 << BITS) - 1)).astype(int)
 
 
 def sequence_bounds(total: int, size: int) -> list[int]:
@@ -92,15 +150,11 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048) -> DataFrame:
     Repeated rows are packed as often as given. Extra columns are ignored; an empty table
     gives no rows. ``tokenizer`` is the path of the vocabulary file on every machine.
     """
-    state = {}
 
     def encode(doc_id, text):
-        if not state:
-            from tokenizers import Tokenizer
-
-            state["t"] = Tokenizer.from_file(tokenizer)
-        ids = np.array(state["t"].encode(text or "", add_special_tokens=False).ids + [END], dtype="<u4")
-        yield doc_id, len(ids), hilbert_key(cell(ids[:-1])), zlib.compress(ids.tobytes(), 1)
+        data = encoder(tokenizer)(text or "")
+        ids = np.frombuffer(data, dtype="<u4")
+        yield doc_id, len(ids) + 1, hilbert_key(cell(ids)), zlib.compress(data + struct.pack("<I", END), 1)
 
     tokens = text_rows(docs, encode, ["doc_id", "text"], "doc_id long, n long, curve long, ids binary")
     tokens = staged(tokens.withColumn("row", F.monotonically_increasing_id()), "tokens")

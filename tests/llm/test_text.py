@@ -303,3 +303,15 @@ def test_pipeline_stages_on_empty_documents(spark):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).count() == 0
+
+
+def test_encoder_by_parts_equals_whole_texts(rows_in):
+    from tokenizers import Tokenizer
+
+    plain, encode = Tokenizer.from_file(tokenizer_path()), hilbert_pack.encoder(tokenizer_path())
+    rng = np.random.default_rng(8)
+    marks = list("aAbZ'sStTreEvVmdlL019 \t\n\r.,-<>|=éÉIİßΣσ京²½٠😀_&") + ["é", "̸", "̇", "‍", "\xa0", "\x1c", "\x85", "<|endoftext|>"]
+    odd = ["".join(rng.choice(marks, n)) for n in rng.integers(0, 15, 4000)]
+    for text in [*odd, *(r[1] or "" for r in rows_in), "x" * 5000 + " " + "é" * 300]:
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert encode(text) == np.array(ids, "<u4").tobytes()
