@@ -17,7 +17,12 @@ DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
 EDGE_L, EDGE_R = r"(?<![0-9A-Za-z.@+-])", r"(?![0-9A-Za-z@]|[.-][0-9])"
-PATTERN = f"{EMAIL}|{EDGE_L}(?:{IPV4}|{PHONE}|{DATE}|{SSN}|{CARD}){EDGE_R}"
+# Digits, blanks and hyphens with at least 13 digits, up to a group border; cards are looked for inside.
+RUN = r"(?=(?:[ -]*[0-9]){13})[0-9][0-9 -]{11,}[0-9](?![A-Za-z0-9._%+-]*@)"
+INNER = f"{EMAIL}|{EDGE_L}(?:{IPV4}|{PHONE}|{DATE}|{SSN}){EDGE_R}"
+PATTERN = f"{EMAIL}|{EDGE_L}(?:{IPV4}|{PHONE}|{DATE}|{SSN}|{RUN}){EDGE_R}"
+# Group lengths of printed cards; they win over other windows of a run.
+LAYOUT = r"^(?:1[3-9]|4-4-4-4|4-6-5|4-6-4|4-4-4-4-3|4-4-5)$"
 
 ROUNDS = 10
 # Days 1900-01-01 up to 270 * 271 days later.
@@ -152,6 +157,91 @@ def _place(c: Column) -> Column:
     return F.when(code >= 97, code - 87).otherwise(code - 48).cast("int")
 
 
+def _with(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _piece(value: Column, kind: Column) -> Column:
+    return F.struct(value.alias("v"), kind.cast("string").alias("k"))
+
+
+def _plain(text: Column) -> Column:
+    """Pieces (v, k) of a text without cards."""
+    rest, found = F.split(text, INNER, -1), F.regexp_extract_all(text, F.lit(INNER), F.lit(0))
+    both = F.zip_with(rest, found, lambda r, x: F.array(_piece(r, F.lit(None)), _piece(x, kind_of(x))))
+    return F.filter(F.flatten(both), lambda p: p["v"] != "")
+
+
+def _cards(run: Column) -> Column:
+    """Pieces (v, k) of a run of digit groups that is not a card as a whole.
+
+    Every window of 13 to 19 digits between group borders, with one separator throughout,
+    is tested; of windows that overlap, printed layouts, then longer, then earlier ones win.
+    """
+    groups, seps = F.regexp_extract_all(run, F.lit("([0-9]+)"), F.lit(1)), F.split(run, "[0-9]+", -1)
+    return _with(F.struct(groups.alias("g"), seps.alias("s")), lambda x: _windows(x["g"], x["s"]))
+
+
+def _windows(groups: Column, seps: Column) -> Column:
+    n = F.size(groups)
+    tokens = F.slice(F.flatten(F.zip_with(seps, groups, lambda s, g: F.array(s, F.coalesce(g, F.lit(""))))), F.lit(2), 2 * n - 1)
+
+    def window(i, j):
+        inside = F.slice(groups, i + 1, j - i + 1)
+        layout = F.array_join(F.transform(inside, lambda g: F.length(g).cast("string")), "-")
+        gaps = F.array_join(F.array_distinct(F.slice(seps, i + 2, j - i)), "|")
+        return F.struct(
+            F.when(layout.rlike(LAYOUT), 0).otherwise(1).alias("rank"), (-F.length(F.array_join(inside, ""))).alias("size"),
+            i.alias("i"), j.alias("j"), F.array_join(inside, "").alias("d"), gaps.alias("gaps"),
+        )
+
+    windows = F.flatten(F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.transform(F.sequence(i, F.least(i + 18, n - 1)), lambda j: window(i, j)),
+    ))
+    valid = F.filter(
+        windows, lambda w: w["size"].between(-19, -13) & w["gaps"].isin("", " ", "-") & (_luhn_sum(_digits(w["d"])) % 10 == 0)
+    )
+    spans = F.aggregate(
+        F.array_sort(valid),
+        F.array().cast("array<struct<i:int,j:int>>"),
+        lambda kept, w: F.when(F.exists(kept, lambda o: (o["i"] <= w["j"]) & (w["i"] <= o["j"])), kept).otherwise(
+            F.concat(kept, F.array(F.struct(w["i"].alias("i"), w["j"].alias("j"))))
+        ),
+    )
+
+    return _with(F.struct(tokens.alias("t"), F.array_sort(spans).alias("w")), lambda x: _cut(x["t"], x["w"]))
+
+
+def _cut(tokens: Column, spans: Column) -> Column:
+    """Pieces (v, k) of groups and separators in turn, of which ``spans`` are cards."""
+
+    def text(a, b):
+        return F.array_join(F.slice(tokens, a + 1, b - a), "")
+
+    return F.aggregate(
+        spans,
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<v:string,k:string>>").alias("out")),
+        lambda acc, w: F.struct(
+            (2 * w["j"] + 1).alias("at"),
+            F.concat(
+                acc["out"], _plain(text(acc["at"], 2 * w["i"])),
+                F.array(_piece(text(2 * w["i"], 2 * w["j"] + 1), F.lit("card"))),
+            ).alias("out"),
+        ),
+        lambda acc: F.concat(acc["out"], _plain(text(acc["at"], F.size(tokens)))),
+    )
+
+
+def pieces_of(value: Column) -> Column:
+    """A found value as pieces (v, k): itself, or what a run of digits holds."""
+    return _with(
+        kind_of(value),
+        lambda kind: F.when(kind.isNull() & value.rlike(f"^{RUN}$"), _cards(value)).otherwise(F.array(_piece(value, kind))),
+    )
+
+
 def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     """Replace every validated value in ``text`` by its keyed pseudonym.
 
@@ -163,15 +253,14 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     (distinct, sorted, comma-joined; empty if none). Null text stays null with 0.
     """
     found = F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))
-    marked = F.transform(found, lambda v: F.struct(v.alias("v"), kind_of(v).alias("k")))
-    out = docs.withColumn("_ps_found", F.when(F.col("text").rlike("[0-9@]"), marked))
-    new = F.transform("_ps_found", lambda m: pseudonym(m["v"], m["k"], key))
+    out = docs.withColumn("_ps_found", F.when(F.col("text").rlike("[0-9@]"), F.transform(found, pieces_of)))
     between = F.split("text", PATTERN, -1)
+    new = F.transform("_ps_found", lambda ps: F.array_join(F.transform(ps, lambda m: pseudonym(m["v"], m["k"], key)), ""))
     text = F.array_join(
         F.zip_with(between, new, lambda rest, v: F.concat(rest, F.coalesce(v, F.lit("")))), ""
     )
     some = F.coalesce(F.size("_ps_found"), F.lit(0)) > 0
-    real = F.filter(F.transform("_ps_found", lambda m: m["k"]), lambda k: k.isNotNull())
+    real = F.filter(F.transform(F.flatten("_ps_found"), lambda m: m["k"]), lambda k: k.isNotNull())
     out = out.withColumn("n_replaced", F.when(some, F.size(real)).otherwise(0).cast("long"))
     out = out.withColumn("kinds", F.when(some, F.array_join(F.array_sort(F.array_distinct(real)), ",")).otherwise(""))
     out = out.withColumn("text", F.when(some, text).otherwise(F.col("text")))
