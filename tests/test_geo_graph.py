@@ -75,6 +75,19 @@ def test_nearest_label(spark, inline):
         assert got[i][0] == name and got[i][1] == pytest.approx(d, abs=1e-6)
 
 
+@pytest.mark.parametrize("extra", [0, 300])
+def test_nearest_label_at_midpoints(spark, extra):
+    rnd = Random(4)
+    spots = [(round(rnd.uniform(-60, 60), 3), round(rnd.uniform(-170, 170), 3)) for _ in range(40)]
+    refs = [(f"r{k:02d}{side}", la, lo + (0.5 if side == "a" else -0.5)) for k, (la, lo) in enumerate(spots) for side in "ba"]
+    refs += [(f"zz{k:03d}", 85.0, -179.0 + k) for k in range(extra)]
+    p = spark.createDataFrame([(k, la, lo) for k, (la, lo) in enumerate(spots)], "id int, lat double, lon double")
+    r = spark.createDataFrame(refs, "tz string, la double, lo double")
+    got = {x.id: x.label for x in geo.nearest_label(p, r, "lat", "lon", "tz", "la", "lo").collect()}
+    for k, (la, lo) in enumerate(spots):
+        assert got[k] == min((round(miles((la, lo), (a, o)), 9), n) for n, a, o in refs)[1]
+
+
 def test_nearest_label_without_refs(spark, rows):
     p = spark.createDataFrame([(1, 0.0, 0.0)], "id int, lat double, lon double")
     r = spark.createDataFrame([], "tz string, la double, lo double")
