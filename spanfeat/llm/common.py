@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanfeat.session import checkpoint_root
+
 
 def text_rows(df: DataFrame, fn: Callable[..., Iterator[tuple]], cols: list[str], schema: str) -> DataFrame:
     """Flat-map rows through ``fn(*values)``, which yields output tuples; Arrow batches both ways.
@@ -56,3 +59,10 @@ def release(*frames: DataFrame) -> None:
         spark = df.sparkSession
         folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def staged_tight(df: DataFrame, label: str) -> DataFrame:
+    """Like ``staged``, with Zstandard: for wide binary columns that are read back once or twice."""
+    path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
