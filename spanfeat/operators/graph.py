@@ -7,11 +7,16 @@ a hub, and the repeated state stays below nodes + edges / EDGE_ROWS.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.checks import require_columns
-from ..session import cut_lineage, settle
+from ..session import cut_lineage, discard, scratch, settle
+from .ordering import ordered_prefix
+from .skew import spread_join
 
 # Edges of one node beyond this count are split into several parts.
 EDGE_ROWS = 10_000
@@ -67,29 +72,32 @@ def _tasks(edges: DataFrame) -> int:
 def pagerank(
     edges: DataFrame,
     damping: float = 0.85,
-    tol: float | None = 1e-6,
-    max_iter: int = 100,
+    tol: float = 1e-9,
     weight: str = "weight",
     edge_rows: int = EDGE_ROWS,
     rounds_per_cut: int = 2,
 ) -> DataFrame:
-    """Weighted PageRank as (node, rank); ranks sum to 1.
+    """Weighted PageRank as (node, rank); ranks sum to 1 and are off by at most ``tol`` in sum.
 
-    Mass of nodes without out-edges is spread evenly: the linear system is iterated
-    without it and the result normalised, which has the same solution. The lineage is
-    cut every few rounds, where the L1 change is tested against ``tol`` (``tol=None``
-    runs exactly ``max_iter`` rounds); with ``tol`` unmet after ``max_iter`` rounds it raises. Only that sum and the node count reach the driver.
+    Mass of nodes without out-edges is spread evenly: the linear system is solved without it
+    and the result normalised, which has the same solution. The solution starts from even
+    ranks and their residuals, which have both signs. In every round only nodes whose
+    residual exceeds a tenth of the mean size add it to their rank and send it on along
+    their edges. The sum of all sizes, divided by 1 - damping, bounds the error, and the
+    rounds end when it is small enough, so no number of rounds is asked for. Per cut of the
+    lineage three sums reach the driver.
     """
     require_columns(edges, ["src", "dst", weight])
+    if not 1e-13 <= tol < 1:
+        raise ValueError("tol must lie between 1e-13 and 1")
     summed = (
         edges.filter((F.col(weight) > 0) & F.col("src").isNotNull() & F.col("dst").isNotNull())
         .groupBy("src", "dst")
         .agg(F.sum(weight).cast("double").alias("_w"))
     )
+    out = summed.groupBy("src").agg(F.sum("_w").alias("_out"))
     shares = cut_lineage(
-        summed.join(summed.groupBy("src").agg(F.sum("_w").alias("_out")), "src").select(
-            "src", "dst", (F.col("_w") / F.col("_out")).alias("_share")
-        )
+        spread_join(summed, out, "src").select("src", "dst", (F.col("_w") / F.col("_out")).alias("_share"))
     )
     nodes = cut_lineage(
         shares.select(F.col("src").alias("node")).unionAll(shares.select("dst")).distinct()
@@ -105,34 +113,96 @@ def pagerank(
         .sortWithinPartitions("node", "_part")
         .persist()
     )
-    base = nodes.withColumn("_c", F.lit((1 - damping) / n))
-
-    ranks = nodes.withColumn("rank", F.lit(1.0 / n))
-    done = 0
-    while done < max_iter:
-        before = ranks
-        for _ in range(min(rounds_per_cut, max_iter - done)):
-            received = lanes.join(_visit(ranks, crowded), ["node", "_part"]).select(
+
+    def push(state: DataFrame, least: float) -> DataFrame:
+        """One round: (node, rank, left), where left is the residual."""
+        sends = F.abs(F.col("left")) > least
+        moved = (
+            lanes.join(_visit(state.filter(sends).select("node", "left"), crowded), ["node", "_part"])
+            .select(
                 F.col("_to").alias("node"),
-                (F.lit(damping) * F.col("_share") * F.col("rank")).alias("_c"),
+                F.lit(0.0).alias("rank"),
+                (F.lit(damping) * F.col("_share") * F.col("left")).alias("left"),
             )
-            ranks = base.unionByName(received).groupBy("node").agg(F.sum("_c").alias("rank"))
-            done += 1
-        ranks = cut_lineage(ranks)
-        if tol is not None:
-            change = (
-                ranks.join(before.select("node", F.col("rank").alias("_old")), "node")
-                .agg(F.sum(F.abs(F.col("rank") - F.col("_old"))))
-                .first()[0]
-            )
-            if change < tol:
-                break
-    else:
-        if tol is not None:
-            raise RuntimeError(f"PageRank did not settle in {max_iter} rounds")
+        )
+        kept = state.select(
+            "node",
+            F.when(sends, F.col("rank") + F.col("left")).otherwise(F.col("rank")).alias("rank"),
+            F.when(sends, 0.0).otherwise(F.col("left")).alias("left"),
+        )
+        return kept.unionByName(moved).groupBy("node").agg(F.sum("rank").alias("rank"), F.sum("left").alias("left"))
+
+    # even ranks, sent on once, leave (1 - damping) / n less what was taken
+    even = nodes.select("node", F.lit(0.0).alias("rank"), F.lit(1.0 / n).alias("left"))
+    state = cut_lineage(push(even, 0.0).withColumn("left", F.col("left") + F.lit((1 - damping) / n - 1.0 / n)))
+    while True:
+        # only proportions count, so the even part may grow or shrink: residuals are brought to mean 0
+        mean = state.agg(F.avg("left")).first()[0]
+        state = state.withColumn("left", F.col("left") - F.lit(mean))
+        size, mass = state.agg(F.sum(F.abs("left")), F.sum("rank")).first()
+        if 2 * size / (1 - damping) <= tol * mass:
+            break
+        for _ in range(rounds_per_cut):
+            state = push(state, size / (10 * n))
+        state = cut_lineage(state)
     lanes.unpersist()
-    total = ranks.agg(F.sum("rank")).first()[0]
-    return ranks.select("node", (F.col("rank") / F.lit(total)).alias("rank"))
+    return state.select("node", (F.col("rank") / F.lit(mass)).alias("rank"))
+
+
+class _Links:
+    """A simple graph with both edge layouts and its nodes, each staged once."""
+
+    def __init__(self, edges: DataFrame, directed: bool, edge_rows: int):
+        require_columns(edges, ["src", "dst"])
+        links = edges.select("src", "dst").filter(F.col("src") != F.col("dst"))
+        ends = edges.select(F.col("src").alias("node")).unionAll(edges.select("dst")).dropna()
+        if not directed:
+            links = links.unionAll(links.select(F.col("dst"), F.col("src")))
+        links = cut_lineage(links.distinct())
+        self.spark, self.directed = edges.sparkSession, directed
+        self.nodes = cut_lineage(ends.distinct())
+        self.n = self.nodes.count()
+        self.out, self.into = (
+            (cut_lineage(_lanes(links, near, far, crowded)), crowded)
+            for near, far, crowded in (
+                (near, far, _crowded(links, near, edge_rows))
+                for near, far in (("src", "dst"), ("dst", "src"))
+            )
+        )
+
+    def walk(self, state: DataFrame, layout: tuple, value: str) -> DataFrame:
+        """Move a value along the edges and add it up per (source, reached node)."""
+        lanes, crowded = layout
+        return (
+            _visit(state, crowded)
+            .join(lanes, ["node", "_part"])
+            .groupBy("source", F.col("_to").alias("node"))
+            .agg(F.sum(value).alias(value))
+        )
+
+    def search(self, sources: DataFrame, layout: tuple | None = None) -> tuple[str, int]:
+        """Breadth-first search from all sources at once: folder of the state table, last level.
+
+        The state is one table (source, node, paths) with the level as its partition column.
+        A level reads the rows of the level before, adds up path counts along the edges, and
+        appends the pairs that the table does not hold yet.
+        """
+        path = scratch(self.spark, "paths")
+        first = sources.select(F.col("node").alias("source"), "node", F.lit(1.0).alias("paths"))
+        first.withColumn("level", F.lit(0)).write.partitionBy("level").parquet(path)
+        level = 0
+        while True:
+            state = self.state(path, first)
+            reached = self.walk(state.filter(F.col("level") == level), layout or self.out, "paths")
+            fresh = reached.join(state, ["source", "node"], "left_anti")
+            fresh.withColumn("level", F.lit(level + 1)).write.mode("append").partitionBy("level").parquet(path)
+            if self.state(path, first).filter(F.col("level") == level + 1).isEmpty():
+                return path, level
+            level += 1
+
+    def state(self, path: str, like: DataFrame) -> DataFrame:
+        schema = like.select("source", "node", "paths").schema.add("level", "integer")
+        return self.spark.read.schema(schema).parquet(path)
 
 
 def betweenness(
@@ -142,66 +212,158 @@ def betweenness(
     edge_rows: int = EDGE_ROWS,
     sources_per_batch: int = 10_000,
 ) -> DataFrame:
-    """Share of shortest paths through each node, as (node, betweenness).
+    """Share of shortest paths through each node, as (node, betweenness); exact.
 
     Level-synchronous breadth-first search from all sources of a batch at once, path
-    counts forward, dependencies backward, one cut of the lineage per level. State is
-    (sources per batch) x (nodes); every node is a source exactly once, so the result
-    is exact. Weights, parallel edges and self loops play no role.
+    counts forward, dependencies backward. State is one table of (sources per batch) x
+    (nodes reached), partitioned by level; it is deleted once the batch's scores are summed
+    into one row per node. Weights, parallel edges and self loops play no role. Work grows
+    with nodes x edges; ``betweenness_sampled`` bounds it.
     """
-    require_columns(edges, ["src", "dst"])
-    links = edges.select("src", "dst").filter(F.col("src") != F.col("dst"))
-    ends = edges.select(F.col("src").alias("node")).unionAll(edges.select("dst")).dropna()
-    if not directed:
-        links = links.unionAll(links.select(F.col("dst"), F.col("src")))
-    links = cut_lineage(links.distinct())
-    nodes = cut_lineage(ends.distinct())
-    n = nodes.count()
-    crowded_out, crowded_in = (_crowded(links, end, edge_rows) for end in ("src", "dst"))
-    step_out = _lanes(links, "src", "dst", crowded_out)
-    step_in = _lanes(links, "dst", "src", crowded_in)
+    graph = _Links(edges, directed, edge_rows)
+    spark, nodes, n = graph.spark, graph.nodes, graph.n
     batches = max(1, -(-n // sources_per_batch))
-
-    def walk(state: DataFrame, lanes: DataFrame, crowded: DataFrame, value: str) -> DataFrame:
-        """Move a value along the edges and add it up per (source, reached node)."""
-        return (
-            _visit(state, crowded)
-            .join(lanes, ["node", "_part"])
-            .groupBy("source", F.col("_to").alias("node"))
-            .agg(F.sum(value).alias(value))
-        )
-
-    scores = []
+    total = nodes.select("node", F.lit(0.0).alias("debt"))
     for batch in range(batches):
         start = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(batches)) == batch)
-        levels = [start.select(F.col("node").alias("source"), "node", F.lit(1.0).alias("paths"))]
-        seen = levels[0].select("source", "node")
-        while True:
-            reached = walk(levels[-1], step_out, crowded_out, "paths")
-            fresh = cut_lineage(reached.join(seen, ["source", "node"], "left_anti"))
-            if fresh.isEmpty():
-                break
-            levels.append(fresh)
-            seen = seen.unionByName(fresh.select("source", "node"))
-
+        path, last = graph.search(start)
+        like = start.select(F.col("node").alias("source"), "node", F.lit(1.0).alias("paths"))
+        debts = scratch(spark, "debts")
         owed = None
-        for level in reversed(levels[1:]):
+        for level in range(last, 0, -1):
+            rows = graph.state(path, like).filter(F.col("level") == level).drop("level")
             if owed is None:
-                state = level.withColumn("debt", F.lit(0.0))
+                rows = rows.withColumn("debt", F.lit(0.0))
             else:
-                state = level.join(owed, ["source", "node"], "left").withColumn(
+                rows = rows.join(owed, ["source", "node"], "left").withColumn(
                     "debt", F.coalesce(F.col("paths") * F.col("credit"), F.lit(0.0))
-                )
-            state = cut_lineage(state.select("source", "node", "paths", "debt"))
-            scores.append(state.groupBy("node").agg(F.sum("debt").alias("debt")))
-            credit = state.withColumn("credit", (1 + F.col("debt")) / F.col("paths"))
-            owed = walk(credit, step_in, crowded_in, "credit")
-
-    total = nodes.select("node", F.lit(0.0).alias("debt"))
-    for part in scores:
-        total = total.unionByName(part)
+                ).drop("credit")
+            folder = f"{debts}/level={level}"
+            rows.write.parquet(folder)
+            rows = spark.read.schema(rows.schema).parquet(folder)
+            credit = rows.withColumn("credit", (1 + F.col("debt")) / F.col("paths"))
+            owed = graph.walk(credit, graph.into, "credit")
+        if last:
+            schema = like.schema.add("debt", "double")
+            sums = spark.read.schema(schema).parquet(debts).groupBy("node").agg(F.sum("debt").alias("debt"))
+            total = cut_lineage(total.unionByName(sums).groupBy("node").agg(F.sum("debt").alias("debt")))
+        discard(spark, path, debts)
     if normalized:
         scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
     else:
         scale = 1.0 if directed else 0.5
-    return total.groupBy("node").agg((F.sum("debt") * F.lit(scale)).alias("betweenness"))
+    return total.select("node", (F.col("debt") * F.lit(scale)).alias("betweenness"))
+
+
+def path_sample_size(epsilon: float, delta: float, vertices: int) -> int:
+    """Paths to draw so that, with probability 1 - delta, no node is off by more than epsilon.
+
+    Bound of Riondato and Kornaropoulos: a shortest path with at most ``vertices`` nodes has
+    at most ``vertices - 2`` inner ones, which limits the VC dimension to the whole part of
+    log2(vertices - 2), plus 1.
+    """
+    inner = max(vertices - 2, 1)
+    return math.ceil(0.5 / epsilon**2 * (math.floor(math.log2(inner)) + 1 + math.log(1 / delta)))
+
+
+def _vertex_bound(graph: _Links) -> int:
+    """Nodes on a longest shortest path, at most.
+
+    Where one node reaches all others and is reached by all, no path is longer than going
+    there and on; else the number of nodes is the bound (its logarithm is what counts).
+    """
+    hub = graph.nodes.orderBy("node").limit(1)
+    there, far = graph.search(hub)
+    back, near = (there, far) if not graph.directed else graph.search(hub, graph.into)
+    like = hub.select(F.col("node").alias("source"), "node", F.lit(1.0).alias("paths"))
+    whole = all(graph.state(p, like).count() == graph.n for p in {there, back})
+    discard(graph.spark, there, back)
+    return min(graph.n, far + near + 1) if whole else graph.n
+
+
+def sample_pairs(nodes: DataFrame, n: int, count: int, seed: int) -> DataFrame:
+    """(sample, source, target): ``count`` ordered pairs of two different of the ``n`` nodes, with replacement."""
+    numbered = ordered_prefix(nodes.withColumn("_one", F.lit(1)), "node", ["_one"]).select(
+        "node", F.col("_one_before").alias("_at")
+    )
+    drawn = nodes.sparkSession.range(count).select(
+        F.col("id").alias("sample"),
+        F.pmod(F.xxhash64(F.lit(seed), F.lit(0), "id"), F.lit(n)).alias("_s"),
+        F.pmod(F.xxhash64(F.lit(seed), F.lit(1), "id"), F.lit(n - 1)).alias("_t"),
+    )
+    drawn = drawn.withColumn("_t", F.when(F.col("_t") >= F.col("_s"), F.col("_t") + 1).otherwise(F.col("_t")))
+    for end, name in (("_s", "source"), ("_t", "target")):
+        drawn = drawn.join(numbered, F.col(end) == F.col("_at")).drop(end, "_at").withColumnRenamed("node", name)
+    return drawn
+
+
+def _draw_paths(graph: _Links, pairs: DataFrame, seed: int) -> DataFrame:
+    """(sample, node): inner nodes of one shortest path per sample, drawn evenly from all of its pair.
+
+    From the target backwards, the node before is drawn with the weight of its path count:
+    of exponential races with these rates the first one wins.
+    """
+    sources = pairs.select(F.col("source").alias("node")).distinct()
+    like = sources.select(F.col("node").alias("source"), "node", F.lit(1.0).alias("paths"))
+    path, last = graph.search(sources)
+    state = graph.state(path, like)
+    ends = cut_lineage(
+        pairs.join(state.withColumnRenamed("node", "target"), ["source", "target"]).select(
+            "sample", "source", F.col("target").alias("node"), "level"
+        )
+    )
+    lanes, crowded = graph.into
+    inner, at = [], None
+    for level in range(last, 1, -1):
+        here = ends.filter(F.col("level") == level).drop("level")
+        if at is not None:
+            here = here.unionByName(at)
+        before = state.filter(F.col("level") == level - 1).select("source", F.col("node").alias("_to"), "paths")
+        chance = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "sample", F.lit(level), "_to"), 11) + 0.5) / 2.0**53
+        at = cut_lineage(
+            _visit(here, crowded)
+            .join(lanes, ["node", "_part"])
+            .join(before, ["source", "_to"])
+            .groupBy("sample", "source")
+            .agg(F.min_by("_to", -F.log(chance) / F.col("paths")).alias("node"))
+        )
+        inner.append(at.select("sample", "node"))
+    discard(graph.spark, path)
+    none = pairs.select("sample", F.col("source").alias("node")).limit(0)
+    return reduce(DataFrame.unionByName, inner, none)
+
+
+def betweenness_sampled(
+    edges: DataFrame,
+    epsilon: float = 0.01,
+    delta: float = 0.1,
+    directed: bool = True,
+    normalized: bool = True,
+    seed: int = 0,
+    edge_rows: int = EDGE_ROWS,
+    sources_per_batch: int = 10_000,
+) -> DataFrame:
+    """Estimate of ``betweenness``: with probability 1 - delta every node is within epsilon (normalised).
+
+    Draws as many random shortest paths as ``path_sample_size`` asks for, whatever the size
+    of the graph, and counts the nodes inside them. Searches start from drawn sources only,
+    in batches, so the state is at most (sources per batch) x (nodes).
+    """
+    graph = _Links(edges, directed, edge_rows)
+    n = graph.n
+    scores = graph.nodes.select("node", F.lit(0.0).alias("hits"))
+    if n > 2:
+        stretch = n / (n - 2)  # from all pairs to pairs without the node itself
+        count = path_sample_size(epsilon / stretch, delta, _vertex_bound(graph))
+        pairs = cut_lineage(sample_pairs(graph.nodes, n, count, seed))
+        batches = max(1, -(-min(count, n) // sources_per_batch))
+        for batch in range(batches):
+            part = pairs.filter(F.pmod(F.xxhash64("source"), F.lit(batches)) == batch)
+            hits = _draw_paths(graph, part, seed).groupBy("node").agg(F.count("*").cast("double").alias("hits"))
+            scores = cut_lineage(scores.unionByName(hits).groupBy("node").agg(F.sum("hits").alias("hits")))
+        scale = stretch / count
+        if not normalized:
+            scale *= (n - 1) * (n - 2) * (1.0 if directed else 0.5)
+    else:
+        scale = 0.0
+    return scores.select("node", (F.col("hits") * F.lit(scale)).alias("betweenness"))

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ..functions.checks import require_columns
 from ..functions.missing import good_quality, is_missing
-from ..session import settle
+from ..session import settle, staged
 from .joins import matched, with_one_row
+from .skew import heavy_keys, spread_join, tasks_of
 
 # Quality codes that mark a reading as suspect or erroneous.
 BAD_QUALITY_CODES = ("2", "3", "6", "7")
@@ -32,6 +33,13 @@ class Measure:
         return self.out or self.col
 
 
+def _hour(df: DataFrame, ts: str, grain: str) -> tuple[Column, Column]:
+    """Start of the clock hour, with a fixed instant for an unknown one, and that instant."""
+    hour = F.date_trunc(grain, F.col(ts))
+    unknown = F.lit("0001-01-01 00:00:00").cast(df.select(hour.alias("h")).schema["h"].dataType)
+    return F.coalesce(hour, unknown), unknown
+
+
 def _bridge_pairs(bridge: DataFrame, station: str, neighbor: str) -> DataFrame:
     return bridge.select(F.col(station).alias("_station"), F.col(neighbor).alias("_entity"))
 
@@ -56,8 +64,10 @@ def impute_neighbors(
     value are dropped, as are entities outside the bridge; exact duplicates collapse.
     The bridge must list every station as its own neighbour.
 
-    All measures are handled in one pass: readings shrink to one row per (entity, hour)
-    before they meet the bridge, and only hours with something to fill are looked up.
+    Readings are grouped once, to one row per (entity, hour) with sums, counts and whether
+    something is missing; only that summary meets the bridge, and only hours with something
+    to fill are looked up. The readings meet the answers by (entity, hour); hours that hold
+    many of all readings, as counted in the summary, are dealt over several tasks.
     """
     require_columns(df, [entity, ts, *keep, *[m.col for m in measures]])
     require_columns(bridge, [station, neighbor])
@@ -67,37 +77,31 @@ def impute_neighbors(
         good = good_quality(F.col(m.quality), bad_codes) if m.quality else F.lit(True)
         values[f"_v{i}"] = F.when(~absent & good, F.col(m.col).cast("double"))
         needs[f"_m{i}"] = absent
-    rows = matched(
-        df.select(
-            *keep,
-            F.col(entity).alias("_entity"),
-            F.date_trunc(grain, F.col(ts)).alias("_hour"),
-            *[v.alias(k) for k, v in {**values, **needs}.items()],
-        ),
-        bridge.select(F.col(neighbor).alias("_entity")),
-        "_entity",
-    )
-    hourly = (
-        rows.groupBy("_entity", "_hour")
-        .agg(
-            *[F.sum(v).alias(f"{v}s") for v in values],
-            *[F.count(v).alias(f"{v}n") for v in values],
-        )
-        .filter(reduce(lambda a, b: a | b, [F.col(f"{v}n") > 0 for v in values]))
-    )
-    # only hours in which a station misses something are spread over its neighbours
-    wanted = (
-        rows.filter(reduce(lambda a, b: a | b, [F.col(m) for m in needs]))
-        .select(F.col("_entity").alias("_station"), "_hour")
-        .distinct()
+    hour, unknown = _hour(df, ts, grain)
+    rows = df.select(
+        *keep,
+        F.col(entity).alias("_entity"),
+        hour.alias("_hour"),
+        *[v.alias(k) for k, v in {**values, **needs}.items()],
+    ).filter(F.col("_entity").isNotNull())
+    summary = rows.groupBy("_entity", "_hour").agg(
+        F.count("*").alias("_rows"),
+        F.bool_or(reduce(lambda a, b: a | b, [F.col(m) for m in needs])).alias("_gap"),
+        *[F.sum(v).alias(f"{v}s") for v in values],
+        *[F.count(v).alias(f"{v}n") for v in values],
     )
-    around = (
-        wanted.join(_bridge_pairs(bridge, station, neighbor), "_station")
-        .join(hourly, ["_entity", "_hour"])
+    summary = staged(matched(summary, bridge.select(F.col(neighbor).alias("_entity")), "_entity"), "hours")
+    known = summary.filter(reduce(lambda a, b: a | b, [F.col(f"{v}n") > 0 for v in values]))
+    spread = summary.filter(F.col("_gap") & (F.col("_hour") != unknown)).select(F.col("_entity").alias("_station"), "_hour")
+    spread = spread_join(spread, _bridge_pairs(bridge, station, neighbor), "_station", few_keys="_station")
+    means = (
+        spread.join(known.drop("_rows", "_gap"), ["_entity", "_hour"])
         .groupBy(F.col("_station").alias("_entity"), "_hour")
         .agg(*[F.try_divide(F.sum(f"{v}s"), F.sum(f"{v}n")).alias(f"{v}a") for v in values])
     )
-    filled = rows.join(around, ["_entity", "_hour"], "left").select(
+    answers = summary.select("_entity", "_hour").join(means, ["_entity", "_hour"], "left")
+    heavy = heavy_keys(summary.select("_entity", "_hour", "_rows"), ["_entity", "_hour"], "_rows", tasks_of(df))
+    filled = spread_join(rows, answers, ["_entity", "_hour"], heavy=heavy).select(
         "_entity",
         "_hour",
         *keep,
@@ -106,8 +110,8 @@ def impute_neighbors(
             for i, m in enumerate(measures)
         ],
     )
-    known = reduce(lambda a, b: a | b, [F.col(m.name).isNotNull() for m in measures])
-    return filled.filter(known).dropDuplicates().drop("_entity", "_hour")
+    some = reduce(lambda a, b: a | b, [F.col(m.name).isNotNull() for m in measures])
+    return filled.filter(some).dropDuplicates().drop("_entity", "_hour")
 
 
 def neighborhood_stats(
@@ -125,45 +129,48 @@ def neighborhood_stats(
 
     ``stats`` maps a reading column to output names per statistic, e.g.
     ``{"ceiling": {"avg": "AVG_CEILING", "min": "MIN_CEILING"}}``. A reading that is
-    null keeps null statistics; rows of entities outside the bridge are dropped.
+    null keeps null statistics; rows of entities outside the bridge are dropped. Readings
+    are grouped once and meet the answers as in ``impute_neighbors``.
     """
     require_columns(df, [entity, ts, *keep, *stats])
-    rows = matched(
-        df.select(
-            *keep,
-            F.col(entity).alias("_entity"),
-            F.date_trunc(grain, F.col(ts)).alias("_hour"),
-            *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(stats)],
-        ),
-        bridge.select(F.col(station).alias("_entity")),
-        "_entity",
-    )
-    # neighbours outside the station list still contribute their readings
-    source = df.select(
+    hour, unknown = _hour(df, ts, grain)
+    rows = df.select(
+        *keep,
         F.col(entity).alias("_entity"),
-        F.date_trunc(grain, F.col(ts)).alias("_hour"),
+        hour.alias("_hour"),
         *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(stats)],
     )
     span = range(len(stats))
-    hourly = source.groupBy("_entity", "_hour").agg(
-        *[F.sum(f"_v{i}").alias(f"_s{i}") for i in span],
-        *[F.count(f"_v{i}").alias(f"_n{i}") for i in span],
-        *[F.min(f"_v{i}").alias(f"_l{i}") for i in span],
+    # neighbours outside the station list still contribute their readings
+    hourly = staged(
+        rows.groupBy("_entity", "_hour").agg(
+            F.count("*").alias("_rows"),
+            *[F.sum(f"_v{i}").alias(f"_s{i}") for i in span],
+            *[F.count(f"_v{i}").alias(f"_n{i}") for i in span],
+            *[F.min(f"_v{i}").alias(f"_l{i}") for i in span],
+        ),
+        "hours",
     )
     around = (
-        hourly.join(_bridge_pairs(bridge, station, neighbor), "_entity")
+        spread_join(
+            hourly.filter(F.col("_hour") != unknown).drop("_rows"), _bridge_pairs(bridge, station, neighbor).withColumnRenamed("_entity", "_from"),
+            "_entity", few_keys="_from",
+        )
         .groupBy(F.col("_station").alias("_entity"), "_hour")
         .agg(
             *[F.try_divide(F.sum(f"_s{i}"), F.sum(f"_n{i}")).alias(f"_avg{i}") for i in span],
             *[F.min(f"_l{i}").alias(f"_min{i}") for i in span],
         )
     )
+    listed = matched(hourly.select("_entity", "_hour", "_rows"), bridge.select(F.col(station).alias("_entity")), "_entity")
+    answers = listed.drop("_rows").join(around, ["_entity", "_hour"], "left")
+    heavy = heavy_keys(hourly.select("_entity", "_hour", "_rows"), ["_entity", "_hour"], "_rows", tasks_of(df))
     outputs = [
         F.when(F.col(f"_v{i}").isNotNull(), F.col(f"_{kind}{i}")).alias(name)
         for i, wanted in enumerate(stats.values())
         for kind, name in wanted.items()
     ]
-    return rows.join(around, ["_entity", "_hour"], "left").select(*keep, *outputs)
+    return spread_join(rows, answers, ["_entity", "_hour"], heavy=heavy).select(*keep, *outputs)
 
 
 def fit_group_stats(train: DataFrame, key: str, stats: Mapping[str, Column]) -> DataFrame:
@@ -174,14 +181,17 @@ def fit_group_stats(train: DataFrame, key: str, stats: Mapping[str, Column]) ->
 def fill_from(
     df: DataFrame, stats: DataFrame, key: str, stats_key: str, mapping: Mapping[str, str]
 ) -> DataFrame:
-    """Fill nulls of each column from the fitted statistic of the row's entity."""
+    """Fill nulls of each column from the fitted statistic of the row's entity.
+
+    Entities are counted first, and the rows of heavy ones are dealt over several tasks.
+    """
     require_columns(df, [key, *mapping])
     require_columns(stats, [stats_key, *mapping.values()])
     side = stats.select(
         F.col(stats_key).alias("_fit_key"),
         *[F.col(s).alias(f"_fit{i}") for i, s in enumerate(mapping.values())],
     )
-    joined = df.join(side, F.col(key) == F.col("_fit_key"), "left")
+    joined = spread_join(df, side, key, few_keys="_fit_key", how="left")
     fills = {c: F.coalesce(F.col(c), F.col(f"_fit{i}")) for i, c in enumerate(mapping)}
     return joined.withColumns(fills).select(*df.columns)
 

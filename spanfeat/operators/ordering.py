@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Sequence
-from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -50,44 +48,93 @@ def ordered_prefix(df: DataFrame, order: str, sums: Sequence[str]) -> DataFrame:
     )
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
+# Ranks that the sketch may be off by, as a share of all rows: 1 / ACCURACY.
+ACCURACY = 10_000
+
+
+def quantile_brackets(values: DataFrame, probs: Sequence[float], accuracy: int = ACCURACY) -> tuple[int, list]:
+    """Number of values, and per probability two values that its neighbours lie between.
+
+    ``values`` has one column v without nulls. Ranks come from Spark's mergeable sketch,
+    asked two errors to either side, so a bracket holds about 4 / accuracy of all rows.
+    """
+    wide = 2.0 / accuracy
+    asked = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-wide, wide)]
+    row = values.agg(F.count("v").alias("n"), F.percentile_approx("v", asked, accuracy).alias("q")).first()
+    if not row["n"]:
+        return 0, []
+    ends = row["q"]
+    return row["n"], [
+        (None if p - wide <= 0 else ends[2 * i], None if p + wide >= 1 else ends[2 * i + 1]) for i, p in enumerate(probs)
+    ]
+
+
+def exact_quantiles(
+    df: DataFrame, col: str, probs: Sequence[float], accuracy: int = ACCURACY
+) -> list[float | None]:
     """Exact quantiles with linear interpolation; nulls are ignored.
 
-    Equal values are counted first. Range totals tell which ranges hold the wanted
-    ranks; only those are scanned, and only the neighbours of each quantile reach the
-    driver.
+    A sketch brackets each quantile in a first pass. A second pass counts the values below
+    each bracket and keeps those inside, equal ones counted; the wanted ranks are then found
+    among the kept values in ranges, and only the neighbours of each quantile reach the
+    driver. Should a sketch miss a rank, the search is repeated without its bracket.
     """
-    counts = (
-        df.filter(F.col(col).isNotNull())
-        .groupBy(F.col(col).cast("double").alias("v"))
-        .agg(F.count("*").alias("n"))
-    )
-    ranged, totals = _in_ranges(counts, "v", ["n"])
-    sizes = totals.collect()
-    ends = list(accumulate(r["n"] for r in sizes))
-    if not ends:
+    values = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    n, brackets = quantile_brackets(values, probs, accuracy)
+    if not n:
         return [None for _ in probs]
-    places = [p * (ends[-1] - 1) for p in probs]
-    ranks = sorted({int(x) for x in places} | {min(int(x) + 1, ends[-1] - 1) for x in places})
-    holder = {r: bisect_right(ends, r) for r in ranks}
-    shift = {r: ends[i] - sizes[i]["n"] for r, i in holder.items()}
-    upto = W.partitionBy("_range").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    scanned = ranged.filter(
-        F.col("_range").isin(sorted({sizes[i]["_range"] for i in holder.values()}))
-    ).withColumn("_upto", F.sum("n").over(upto))
-
-    def value_at(rank: int) -> Column:
-        local = rank - shift[rank]
-        inside = (F.col("_range") == sizes[holder[rank]]["_range"]) & (
-            (F.col("_upto") > local) & (F.col("_upto") - F.col("n") <= local)
-        )
-        return F.max(F.when(inside, F.col("v")))
-
-    values = dict(zip(ranks, scanned.agg(*[value_at(r) for r in ranks]).first(), strict=True))
-    out = []
-    for x in places:
-        low, high = values[int(x)], values[min(int(x) + 1, ends[-1] - 1)]
-        out.append(low + (high - low) * (x - int(x)))
+    places = [p * (n - 1) for p in probs]
+    ranks = [(int(x), min(int(x) + 1, n - 1)) for x in places]
+    found = _select_ranks(values, brackets, ranks)
+    missed = [i for i, pair in enumerate(found) if None in pair]
+    if missed:
+        again = _select_ranks(values, [(None, None)] * len(missed), [ranks[i] for i in missed])
+        for i, pair in zip(missed, again, strict=True):
+            found[i] = pair
+    return [low + (high - low) * (x - int(x)) for x, (low, high) in zip(places, found, strict=True)]
+
+
+def _select_ranks(values: DataFrame, brackets: Sequence[tuple], ranks: Sequence[tuple[int, int]]) -> list[list]:
+    """Values at the given ranks (two per bracket); None where a rank lies outside its bracket."""
+
+    def below(bracket: tuple) -> Column:
+        return F.lit(False) if bracket[0] is None else F.col("v") < bracket[0]
+
+    def inside(bracket: tuple) -> Column:
+        over = F.lit(False) if bracket[1] is None else F.col("v") > bracket[1]
+        return ~below(bracket) & ~over
+
+    # a set of small numbers says which brackets a value is in
+    which = F.filter(F.array(*[F.when(inside(b), F.lit(i)) for i, b in enumerate(brackets)]), lambda i: i.isNotNull())
+    kept = (
+        values.withColumn("b", F.explode(which)).groupBy("b", "v").agg(F.count("*").alias("n"))
+    )
+    ranged = cut_lineage(kept.repartitionByRange("b", "v").withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy("_range", "b").agg(F.sum("n").alias("n")).orderBy("b", "_range").collect()
+    under = values.agg(*[F.count_if(below(b)).alias(f"c{i}") for i, b in enumerate(brackets)]).first()
+    wanted = []  # (bracket, place in pair, range, rank within the range)
+    for i, pair in enumerate(ranks):
+        own = [r for r in sizes if r["b"] == i]
+        for place, rank in enumerate(pair):
+            at = rank - under[i]
+            for r in own if at >= 0 else []:
+                if at < r["n"]:
+                    wanted.append((i, place, r["_range"], at))
+                    break
+                at -= r["n"]
+    out: list[list] = [[None, None] for _ in ranks]
+    if not wanted:
+        return out
+    upto = W.partitionBy("_range", "b").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    scanned = ranged.filter(F.col("_range").isin(sorted({w[2] for w in wanted}))).withColumn("_upto", F.sum("n").over(upto))
+
+    def value_at(i: int, range_: int, at: int) -> Column:
+        here = (F.col("b") == i) & (F.col("_range") == range_) & (F.col("_upto") > at) & (F.col("_upto") - F.col("n") <= at)
+        return F.max(F.when(here, F.col("v")))
+
+    row = scanned.agg(*[value_at(i, r, at).alias(f"r{k}") for k, (i, _, r, at) in enumerate(wanted)]).first()
+    for k, (i, place, _, _) in enumerate(wanted):
+        out[i][place] = row[k]
     return out
 
 

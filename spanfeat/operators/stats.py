@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.checks import as_list, require_columns
 from ..session import settle
+from . import gramian
 from .joins import with_one_row
 
 
@@ -121,26 +122,17 @@ def pairwise_products(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, in one pass, as (a, b, corr).
 
-    Rows with a null in either column are left out; a constant column gives null.
+    Rows with a null or NaN in either column are left out; a constant column gives null, as
+    do pairs with fewer than two rows. See ``gramian.pair_moments``.
     """
-    require_columns(df, cols)
-    pairs = list(combinations(cols, 2))
-
-    def corr(a: str, b: str) -> Column:
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        spread = F.stddev(F.when(both, F.col(a))) * F.stddev(F.when(both, F.col(b)))
-        return F.try_divide(F.covar_samp(a, b), spread)
-
-    wide = df.agg(*[corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    return wide.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("corr"))
-                    for i, (a, b) in enumerate(pairs)
-                ]
-            )
-        )
+    if len(cols) < 2:
+        raise ValueError("a correlation needs two columns")
+    names = F.array(*[F.lit(c) for c in cols])
+    spread = F.sqrt(F.col("sxx")) * F.sqrt(F.col("syy"))
+    return gramian.pair_moments(df, cols).select(
+        F.get(names, F.col("i")).alias("a"),
+        F.get(names, F.col("j")).alias("b"),
+        F.when((F.col("n") > 1) & (F.col("sxx") > 0) & (F.col("syy") > 0), F.col("sxy") / spread).alias("corr"),
     )
 
 

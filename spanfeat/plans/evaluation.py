@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from ..operators import learning, metrics, stats
+from ..operators import learning, logit, metrics, stats, tree
 from ..operators.splits import slice_between
 from ..session import staged
 from ..streaming import scoring
@@ -256,9 +256,11 @@ def encoded_features(spark, folder):
     )
 
 
+REG = 0.01
+
+
 def fitted_logistic(train):
-    estimator = learning.logistic("label", "class_weight", maxIter=20, regParam=0.01)
-    return learning.build_pipeline(NUMERIC, CATEGORICAL, estimator, scale=True).fit(train)
+    return logit.fit_logit(train, NUMERIC, CATEGORICAL, "label", "class_weight", reg=REG)
 
 
 def _scored(model, rows):
@@ -268,13 +270,131 @@ def _scored(model, rows):
     )
 
 
-@query("lr_scores")
+# Newton steps that the SQL takes from zero; the last ones change nothing any more.
+NEWTON_STEPS = 9
+SLOTS = 14  # intercept, three numbers and twice five categories
+
+
+def _newton_sql(t: int) -> str:
+    """Weights after step ``t`` from those before it, by elimination on the normal equations."""
+    return f"""
+    q{t} AS MATERIALIZED (SELECT id, w, y, 1 / (1 + exp(-eta)) AS p FROM train JOIN
+        (SELECT id, sum(v * b) AS eta FROM slots JOIN b{t} USING (j) GROUP BY id) USING (id)),
+    h{t} AS (SELECT x.j AS i, z.j AS j, sum(x.v * z.v * w * p * (1 - p)) / any_value(mass)
+               + CASE WHEN x.j = z.j AND x.j > 0 THEN {REG} ELSE 0 END AS v
+             FROM slots x JOIN slots z USING (id) JOIN q{t} USING (id), total GROUP BY x.j, z.j
+             UNION ALL
+             SELECT s.j, {SLOTS}, sum(s.v * w * (y - p)) / any_value(mass)
+               - CASE WHEN s.j > 0 THEN {REG} * any_value(b) ELSE 0 END
+             FROM slots s JOIN q{t} USING (id) JOIN b{t} USING (j), total GROUP BY s.j),
+    e{t}(k, i, j, v) AS (SELECT -1, i, j, v FROM h{t}
+      UNION ALL
+      SELECT a.k + 1, a.i, a.j, CASE WHEN a.i = a.k + 1 THEN a.v / p.v ELSE a.v - c.v * r.v / p.v END
+      FROM e{t} a JOIN e{t} p ON p.i = a.k + 1 AND p.j = a.k + 1
+        JOIN e{t} c ON c.i = a.i AND c.j = a.k + 1 JOIN e{t} r ON r.i = a.k + 1 AND r.j = a.j
+      WHERE a.k < {SLOTS - 1}),
+    b{t + 1} AS MATERIALIZED (SELECT b{t}.j, b + v AS b FROM b{t}
+      JOIN e{t} ON e{t}.i = b{t}.j AND e{t}.j = {SLOTS} AND k = {SLOTS - 1}),"""
+
+
+def _wide_sql(rows: str) -> str:
+    """Slots 1 and up of the design in long form: (id, j, v)."""
+    return f"""
+      SELECT id, 1 AS j, price AS v FROM {rows} UNION ALL SELECT id, 2, day FROM {rows}
+      UNION ALL SELECT id, 3, balance FROM {rows}
+      UNION ALL SELECT id, 3 + r, (priority = name)::INT FROM {rows}, priorities
+      UNION ALL SELECT id, 8 + r, (segment = name)::INT FROM {rows}, segments"""
+
+
+FITTED_SQL = (
+    f"""
+    WITH RECURSIVE f AS (
+      SELECT o_orderkey AS id, o_orderdate < DATE '1999-01-01' AS early, o_totalprice / 1000 AS price,
+             dayofyear(o_orderdate)::DOUBLE AS day, c_acctbal / 1000 AS balance,
+             o_orderpriority AS priority, c_mktsegment AS segment,
+             (o_totalprice / 1000 + 10 * c_acctbal / 1000 > 350)::INT AS y
+      FROM orders JOIN customer ON o_custkey = c_custkey),
+    past AS (FROM f WHERE early), later AS (FROM f WHERE NOT early),
+    priorities AS (SELECT DISTINCT priority AS name, dense_rank() OVER (ORDER BY priority) AS r FROM past),
+    segments AS (SELECT DISTINCT segment AS name, dense_rank() OVER (ORDER BY segment) AS r FROM past),
+    train AS MATERIALIZED (SELECT id, y, (count(*) OVER ()) / (2 * count(*) OVER (PARTITION BY y))::DOUBLE AS w FROM past),
+    total AS (SELECT sum(w) AS mass FROM train),
+    wide AS MATERIALIZED ({_wide_sql('past')}),
+    scale AS MATERIALIZED (SELECT j, avg(v) AS m, stddev_samp(v) AS s FROM wide GROUP BY j),
+    slots AS MATERIALIZED (SELECT id, j, (v - m) / s AS v FROM wide JOIN scale USING (j) UNION ALL SELECT id, 0, 1 FROM past),
+    b0 AS (SELECT DISTINCT j, 0e0 AS b FROM slots),"""
+    + "".join(_newton_sql(t) for t in range(NEWTON_STEPS))
+)
+
+
+def _score_sql(rows: str) -> str:
+    """(id, p): probability of every row under the fitted weights."""
+    last = f"b{NEWTON_STEPS}"
+    return f"""
+    scored AS (SELECT id, 1 / (1 + exp(-(sum((v - m) / s * b) + (SELECT b FROM {last} WHERE j = 0)))) AS p
+               FROM ({_wide_sql(rows)}) JOIN scale USING (j) JOIN {last} USING (j) GROUP BY id)"""
+
+
+LOGIT_SQL = f"""
+    {FITTED_SQL} {_score_sql('later')}
+    SELECT id AS o_orderkey, y AS label, (p > 0.5)::INT AS prediction, round(p, 6) AS probability
+    FROM scored JOIN later USING (id)
+    """
+
+
+@query("lr_scores", LOGIT_SQL)
 def lr_scores(spark, folder):
     """Class-weighted logistic regression, trained before the cut, scored after it."""
     model = fitted_logistic(weighted_training(spark, folder))
     return _scored(model, slice_between(order_features(spark, folder), "o_orderdate", begin=CUT))
 
 
+TREE_NUMERIC, TREE_CATEGORICAL = ("quantity", "l_tax", "l_discount"), ("l_returnflag", "l_linestatus")
+
+
+@query(
+    "tree_root_split",
+    """
+    WITH f AS (SELECT CASE WHEN l_orderkey % 7 <> 0 OR l_quantity <= 20 THEN l_quantity END AS q, l_tax, l_discount,
+                      l_returnflag, l_linestatus, (l_quantity + 3 * l_linenumber > 35)::INT AS y FROM lineitem),
+    cells(feature, num, cat, w, wy) AS (
+      SELECT 0, q, NULL, count(*), sum(y) FROM f GROUP BY q
+      UNION ALL SELECT 1, l_tax, NULL, count(*), sum(y) FROM f GROUP BY l_tax
+      UNION ALL SELECT 2, l_discount, NULL, count(*), sum(y) FROM f GROUP BY l_discount
+      UNION ALL SELECT 3, NULL, l_returnflag, count(*), sum(y) FROM f GROUP BY l_returnflag
+      UNION ALL SELECT 4, NULL, l_linestatus, count(*), sum(y) FROM f GROUP BY l_linestatus),
+    held AS (SELECT *, CASE WHEN feature >= 3 THEN round(wy / w, 9) END AS rate FROM cells
+             WHERE num IS NOT NULL OR cat IS NOT NULL),
+    upto AS (SELECT feature, num, row_number() OVER o AS place, count(*) OVER p AS n, sum(w) OVER o AS lw,
+               sum(wy) OVER o AS lwy, sum(w) OVER p AS hw, sum(wy) OVER p AS hwy, list(cat) OVER o AS cats
+             FROM held WINDOW p AS (PARTITION BY feature), o AS (PARTITION BY feature ORDER BY num, rate, cat)),
+    gone AS (SELECT feature, w AS mw, wy AS mwy FROM cells WHERE num IS NULL AND cat IS NULL),
+    tried AS (SELECT u.*, d AS default_left, coalesce(mw, 0) AS mw, lw + CASE WHEN d THEN coalesce(mw, 0) ELSE 0 END AS a,
+                lwy + CASE WHEN d THEN coalesce(mwy, 0) ELSE 0 END AS ay,
+                hw + coalesce(mw, 0) AS t, hwy + coalesce(mwy, 0) AS ty
+              FROM upto u LEFT JOIN gone USING (feature), (VALUES (TRUE), (FALSE)) v(d) WHERE place < n),
+    scored AS (SELECT *, round((2 * ty * (t - ty) / t - 2 * ay * (a - ay) / a
+                 - CASE WHEN t > a THEN 2 * (ty - ay) * (t - a - ty + ay) / (t - a) ELSE 0 END) / t, 9) AS gain FROM tried)
+    SELECT ['quantity', 'l_tax', 'l_discount', 'l_returnflag', 'l_linestatus'][feature + 1] AS feature, num AS threshold,
+           CASE WHEN feature >= 3 THEN array_to_string(list_sort(cats), ',') END AS left_values, default_left, gain,
+           a::DOUBLE AS left_weight, (t - a)::DOUBLE AS right_weight
+    FROM scored WHERE gain > 0 AND (mw > 0 OR default_left = (a >= t - a))
+    ORDER BY gain DESC, feature, place, default_left DESC LIMIT 1
+    """,
+)
+def tree_root_split(spark, folder):
+    """First split for late lines of large orders; every seventh order lacks its larger quantities."""
+    known = (F.col("l_orderkey") % 7 != 0) | (F.col("l_quantity") <= 20)
+    lines = table(spark, folder, "lineitem").select(
+        F.when(known, F.col("l_quantity")).alias("quantity"),
+        *TREE_NUMERIC[1:],
+        *TREE_CATEGORICAL,
+        (F.col("l_quantity") + 3 * F.col("l_linenumber") > 35).cast("int").alias("label"),
+    )
+    model = tree.fit_tree(lines, TREE_NUMERIC, TREE_CATEGORICAL, "label", max_depth=1, bins=64)
+    return model.to_frame(spark).drop("node")
+
+
 @query("rf_scores")
 def rf_scores(spark, folder):
     """Class-weighted random forest, trained before the cut, scored after it."""
@@ -283,7 +403,18 @@ def rf_scores(spark, folder):
     return _scored(model, slice_between(order_features(spark, folder), "o_orderdate", begin=CUT))
 
 
-@query("score_requests")
+@query(
+    "score_requests",
+    f"""
+    {FITTED_SQL}
+    asked AS (SELECT id, CASE WHEN id % 4 = 0 THEN (SELECT avg(price) FROM past) ELSE price END AS price, day, balance,
+                CASE WHEN id % 5 = 0 THEN (SELECT priority FROM past GROUP BY priority ORDER BY count(*) DESC, priority LIMIT 1)
+                     ELSE priority END AS priority, segment FROM later),
+    {_score_sql('asked')}
+    SELECT id AS o_orderkey, (id % 4 = 0)::INT + (id % 5 = 0)::INT AS n_filled, 'Success' AS status,
+           (p > 0.5)::INT AS pred, round(1 - p, 6) AS probability_0, round(p, 6) AS probability_1 FROM scored
+    """,
+)
 def score_requests(spark, folder):
     """JSON requests made from later orders, some fields missing, filled and scored."""
     train = weighted_training(spark, folder)

@@ -29,21 +29,23 @@ STATIONS_SQL = """
                WHERE a.id = b.id OR {miles} <= 25)
 """.format(miles=miles_sql("a", "b"))
 
-IMPUTED_SQL = """
-    {m}_imp AS MATERIALIZED (
-      SELECT o1.event_id, o1.station, o1.ts, avg(o2.{m}) AS {m}
-      FROM obs o1 JOIN bridge ON o1.station = bridge.station_id
-      JOIN obs o2 ON o2.station = bridge.neighbor_id AND date_trunc('hour', o2.ts) = date_trunc('hour', o1.ts)
-      WHERE o2.{m}q NOT IN ('2', '3', '6', '7') AND (o1.{m} = {x} OR o1.{m} IS NULL)
-        AND o2.{m} <> {x} AND o2.{m} IS NOT NULL
-      GROUP BY o1.event_id, o1.station, o1.ts
-      UNION
-      SELECT event_id, station, ts, {m} FROM obs
-      WHERE {m} <> {x} AND {m} IS NOT NULL AND {m}q NOT IN ('2', '3', '6', '7')
-        AND station IN (SELECT DISTINCT neighbor_id FROM bridge))
+# Per station and hour the sum and number of good readings; these are spread over the
+# neighbour list, and a missing reading looks up the mean of its own station and hour.
+FILLED_SQL = """
+    marked AS (SELECT event_id, station, ts, date_trunc('hour', ts) AS hour,
+                 coalesce(v = 9999, TRUE) AS no_v, coalesce(w = 999, TRUE) AS no_w,
+                 CASE WHEN v <> 9999 AND vq NOT IN ('2', '3', '6', '7') THEN v END AS good_v,
+                 CASE WHEN w <> 999 AND wq NOT IN ('2', '3', '6', '7') THEN w END AS good_w FROM obs),
+    sums AS (SELECT station, hour, sum(good_v) AS sv, count(good_v) AS nv, sum(good_w) AS sw, count(good_w) AS nw
+             FROM marked GROUP BY station, hour),
+    means AS MATERIALIZED (SELECT station_id, hour, sum(sv) / nullif(sum(nv), 0) AS mv, sum(sw) / nullif(sum(nw), 0) AS mw
+              FROM sums, bridge WHERE neighbor_id = station GROUP BY station_id, hour),
+    filled AS MATERIALIZED (SELECT event_id, station, ts, hour,
+                CASE WHEN no_v THEN (SELECT mv FROM means WHERE station_id = station AND means.hour = marked.hour)
+                     ELSE good_v END AS v,
+                CASE WHEN no_w THEN (SELECT mw FROM means WHERE station_id = station AND means.hour = marked.hour)
+                     ELSE good_w END AS w FROM marked)
 """
-V_IMPUTED_SQL = IMPUTED_SQL.format(m="v", x="9999")
-W_IMPUTED_SQL = IMPUTED_SQL.format(m="w", x="999")
 
 MEASURES = [
     impute.Measure("v", "vq", (9999.0,)),
@@ -96,10 +98,8 @@ def neighbour_filled(spark, folder):
 @query(
     "impute_neighbors",
     f"""
-    WITH {READINGS_SQL}, {STATIONS_SQL}, {V_IMPUTED_SQL}, {W_IMPUTED_SQL}
-    SELECT coalesce(a.event_id, b.event_id) AS event_id, coalesce(a.station, b.station) AS station,
-           round(a.v, 6) AS v, round(b.w, 6) AS w
-    FROM v_imp a FULL JOIN w_imp b ON a.event_id = b.event_id AND a.station = b.station AND a.ts = b.ts
+    WITH {READINGS_SQL}, {STATIONS_SQL}, {FILLED_SQL}
+    SELECT event_id, station, round(v, 6) AS v, round(w, 6) AS w FROM filled WHERE coalesce(v, w) IS NOT NULL
     """,
 )
 def impute_neighbors(spark, folder):
@@ -112,16 +112,17 @@ def impute_neighbors(spark, folder):
 @query(
     "neighborhood_stats",
     f"""
-    WITH {READINGS_SQL}, {STATIONS_SQL}, {V_IMPUTED_SQL}, {W_IMPUTED_SQL},
-    sv AS (SELECT a.event_id, avg(b.v) AS avg_v, min(b.v) AS min_v FROM v_imp a
-           JOIN bridge ON a.station = station_id JOIN v_imp b ON b.station = neighbor_id
-           AND date_trunc('hour', a.ts) = date_trunc('hour', b.ts) GROUP BY a.event_id),
-    sw AS (SELECT a.event_id, avg(b.w) AS avg_w FROM w_imp a
-           JOIN bridge ON a.station = station_id JOIN w_imp b ON b.station = neighbor_id
-           AND date_trunc('hour', a.ts) = date_trunc('hour', b.ts) GROUP BY a.event_id)
-    SELECT coalesce(sv.event_id, sw.event_id) AS event_id, round(avg_v, 6) AS avg_v,
-           round(min_v, 6) AS min_v, round(avg_w, 6) AS avg_w
-    FROM sv FULL JOIN sw ON sv.event_id = sw.event_id
+    WITH {READINGS_SQL}, {STATIONS_SQL}, {FILLED_SQL},
+    known AS (FROM filled WHERE coalesce(v, w) IS NOT NULL),
+    levels AS (SELECT station, hour, sum(v) AS sv, count(v) AS nv, min(v) AS lv, sum(w) AS sw, count(w) AS nw
+               FROM known GROUP BY station, hour),
+    around AS (SELECT station_id, hour, sum(sv) / nullif(sum(nv), 0) AS av, min(lv) AS lv,
+                      sum(sw) / nullif(sum(nw), 0) AS aw FROM levels, bridge WHERE neighbor_id = station
+               GROUP BY station_id, hour)
+    SELECT event_id, CASE WHEN v IS NOT NULL THEN round(av, 6) END AS avg_v,
+           CASE WHEN v IS NOT NULL THEN round(lv, 6) END AS min_v,
+           CASE WHEN w IS NOT NULL THEN round(aw, 6) END AS avg_w
+    FROM known, around WHERE station = station_id AND known.hour = around.hour
     """,
 )
 def neighborhood_stats(spark, folder):
@@ -187,13 +188,11 @@ def impute_global_mean(spark, folder):
 @query(
     "impute_three_phase",
     f"""
-    WITH {READINGS_SQL}, {STATIONS_SQL}, {V_IMPUTED_SQL}, {W_IMPUTED_SQL},
-    base AS (SELECT obs.event_id, obs.station, obs.ts, v_imp.v, w_imp.w FROM obs
-             LEFT JOIN v_imp ON obs.event_id = v_imp.event_id LEFT JOIN w_imp ON obs.event_id = w_imp.event_id),
-    fit AS (SELECT station, avg(v) AS av, avg(w) AS aw FROM base
+    WITH {READINGS_SQL}, {STATIONS_SQL}, {FILLED_SQL},
+    fit AS (SELECT station, avg(v) AS av, avg(w) AS aw FROM filled
             WHERE ts < TIMESTAMP '2024-01-21' AND station % 4 <> 0 GROUP BY station),
-    two AS (SELECT event_id, base.ts, coalesce(v, av) AS v, coalesce(w, aw) AS w
-            FROM base LEFT JOIN fit ON base.station = fit.station),
+    two AS (SELECT event_id, filled.ts, coalesce(v, av) AS v, coalesce(w, aw) AS w
+            FROM filled LEFT JOIN fit ON filled.station = fit.station),
     g AS (SELECT avg(v) AS gv, avg(w) AS gw FROM two WHERE ts < TIMESTAMP '2024-01-21')
     SELECT event_id, round(coalesce(v, gv), 6) AS v, round(coalesce(w, gw), 6) AS w FROM two, g
     """,

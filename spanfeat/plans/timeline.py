@@ -10,15 +10,19 @@ from ..functions import bins, timeexpr
 from ..operators import quality, spans, splits, stats
 from .catalog import query, table
 
-ASOF_SQL = """
-    WITH p AS (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'purchase'),
-         r AS (SELECT user_id, ts, avg(value) AS avg_view, min(value) AS min_view
-               FROM events WHERE event_type = 'view' GROUP BY user_id, ts),
-         m AS (SELECT p.user_id, p.ts, max(r.ts) AS view_ts FROM p JOIN r ON p.user_id = r.user_id
-               AND r.ts BETWEEN p.ts - INTERVAL 50 HOUR AND p.ts - INTERVAL 2 HOUR GROUP BY p.user_id, p.ts)
-    SELECT p.event_id, p.user_id, p.ts, p.value, m.view_ts, round(r.avg_view, 6) AS avg_view, r.min_view
-    FROM p LEFT JOIN m ON p.user_id = m.user_id AND p.ts = m.ts
-    LEFT JOIN r ON r.user_id = m.user_id AND r.ts = m.view_ts
+# Readings of one instant count as one; the latest is found first and then checked for age.
+VIEWS_SQL = """
+    views AS (SELECT user_id, ts, avg(value) AS mean, min(value) AS low FROM events
+              WHERE event_type = 'view' GROUP BY user_id, ts)
+"""
+ASOF_SQL = f"""
+    WITH {VIEWS_SQL}, latest AS (
+      SELECT e.*, v.ts AS seen, v.mean, v.low, coalesce(v.ts >= e.ts - INTERVAL 50 HOUR, FALSE) AS fresh
+      FROM events e ASOF LEFT JOIN views v ON v.user_id = e.user_id AND v.ts <= e.ts - INTERVAL 2 HOUR
+      WHERE e.event_type = 'purchase')
+    SELECT event_id, user_id, ts, value, CASE WHEN fresh THEN seen END AS view_ts,
+           CASE WHEN fresh THEN round(mean, 6) END AS avg_view, CASE WHEN fresh THEN low END AS min_view
+    FROM latest
     """
 
 
@@ -43,18 +47,17 @@ def asof_lookback(spark, folder):
 
 @query(
     "asof_two_roles",
-    """
-    WITH n AS (SELECT count(DISTINCT user_id) AS k FROM events),
-         p AS (SELECT event_id, user_id, (user_id * 7 + 3) % k AS peer, ts FROM events, n
-               WHERE event_type = 'purchase'),
-         r AS (SELECT user_id, ts, avg(value) AS v FROM events WHERE event_type = 'view' GROUP BY user_id, ts),
-         a AS (SELECT p.event_id, max(r.ts) AS t FROM p JOIN r ON r.user_id = p.user_id
-               AND r.ts BETWEEN p.ts - INTERVAL 50 HOUR AND p.ts - INTERVAL 2 HOUR GROUP BY p.event_id),
-         b AS (SELECT p.event_id, max(r.ts) AS t FROM p JOIN r ON r.user_id = p.peer
-               AND r.ts BETWEEN p.ts - INTERVAL 50 HOUR AND p.ts - INTERVAL 2 HOUR GROUP BY p.event_id)
-    SELECT p.event_id, a.t AS own_ts, round(x.v, 6) AS value_own, b.t AS peer_ts, round(y.v, 6) AS value_peer
-    FROM p LEFT JOIN a ON a.event_id = p.event_id LEFT JOIN b ON b.event_id = p.event_id
-    LEFT JOIN r x ON x.user_id = p.user_id AND x.ts = a.t LEFT JOIN r y ON y.user_id = p.peer AND y.ts = b.t
+    f"""
+    WITH {VIEWS_SQL}, buys AS (
+      SELECT event_id, ts, ts - INTERVAL 2 HOUR AS upto, ts - INTERVAL 50 HOUR AS since, user_id,
+             (user_id * 7 + 3) % (SELECT count(DISTINCT user_id) FROM events) AS peer
+      FROM events WHERE event_type = 'purchase')
+    SELECT event_id, CASE WHEN own.ts >= since THEN own.ts END AS own_ts,
+           CASE WHEN own.ts >= since THEN round(own.mean, 6) END AS value_own,
+           CASE WHEN other.ts >= since THEN other.ts END AS peer_ts,
+           CASE WHEN other.ts >= since THEN round(other.mean, 6) END AS value_peer
+    FROM buys ASOF LEFT JOIN views own ON own.user_id = buys.user_id AND own.ts <= upto
+    ASOF LEFT JOIN views other ON other.user_id = peer AND other.ts <= upto
     """,
 )
 def asof_two_roles(spark, folder):

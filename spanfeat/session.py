@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
@@ -71,11 +72,53 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write once to the shared folder and read back, so the planner sees the true size."""
-    path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Scratch folders of this driver that are not deleted yet.
+_held: set[str] = set()
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """New folder name below the shared folder, for a table only this driver reads.
+
+    Such folders live as long as the driver at most: see ``clear_scratch``.
+    """
+    path = f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not _held:
+        atexit.register(_clear_at_exit, spark)
+    _held.add(path)
+    return path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete folders made by ``scratch`` or ``staged`` that nothing reads any more."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _held.discard(path)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete all scratch folders and staged tables of this driver; returns their number.
+
+    To be called when no frame made from them is used any more; the end of the driver
+    process calls it as well.
+    """
+    paths = list(_held)
+    discard(spark, *paths)
+    return len(paths)
+
+
+def _clear_at_exit(spark: SparkSession) -> None:
+    try:
+        clear_scratch(spark)
+    except Exception:  # the gateway to Spark may be gone already
+        _held.clear()
+
+
 def settle(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Run a summary once and return it in the form that suits its measured size.
 

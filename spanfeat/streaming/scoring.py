@@ -1,7 +1,7 @@
 """Fill incomplete requests from training averages, then score them.
 
-Every step is stateless and row-wise, so the same functions serve a batch frame and a
-stream; neither adds a shuffle.
+Every step is stateless and row-wise, so the same functions serve a batch frame and the
+batches of a stream; neither adds a shuffle.
 """
 
 from __future__ import annotations
@@ -25,22 +25,46 @@ REQUEST_SCHEMA = (
 )
 
 
+# Column that says why a request cannot be scored.
+PROBLEM = "problem"
+
+
 def training_defaults(train: DataFrame, num: Sequence[str], cat: Sequence[str]) -> dict[str, object]:
-    """Mean of each number and most frequent value of each category, as one row."""
-    row = train.agg(
-        *[F.avg(c).alias(c) for c in num], *[F.mode(F.col(c), deterministic=True).alias(c) for c in cat]
-    ).first()
-    return row.asDict()
+    """Mean of each number and most frequent value of each category, as one row.
+
+    Values are counted by one grouping; of equally frequent ones the smallest is taken.
+    """
+    row = train.agg(*[F.avg(c).alias(c) for c in num]).first().asDict() if num else {}
+    if cat:
+        named = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cat])
+        counts = train.select(F.explode(named).alias("r")).select("r.*").filter("v IS NOT NULL").groupBy("c", "v").count()
+        best = counts.groupBy("c").agg(F.min_by("v", F.struct((-F.col("count")).alias("n"), "v")).alias("v"))
+        found = {r["c"]: r["v"] for r in best.collect()}  # one row per category
+        row |= {c: found.get(c) for c in cat}
+    return {c: row[c] for c in [*num, *cat]}
 
 
 def parse_requests(lines: DataFrame, value: str, schema: str) -> DataFrame:
     """Request records from JSON text, one row each; a text may hold one record or an array.
 
-    Missing keys and malformed records give nulls.
+    Missing keys give nulls. The column ``problem`` is null for a record that was read; it
+    holds the text of a record that was not: no JSON, no record, or a field of another type.
+    Of an array with such a record the whole text is refused, since its records cannot be
+    told apart. A null text is "no text", an empty array gives no row.
     """
-    parsed = F.from_json(F.col(value).cast("string"), f"array<struct<{schema}>>", {"mode": "PERMISSIVE"})
-    return lines.withColumn("_request", F.explode_outer(parsed)).select(
-        *[c for c in lines.columns if c != value], "_request.*"
+    text = F.col(value).cast("string")
+    whole = f"array<struct<{schema}, _corrupt string>>"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = F.from_json(text, whole, options)
+    unread = parsed.isNull() | F.exists(parsed, lambda r: r.isNull() | r["_corrupt"].isNotNull())
+    refused = F.coalesce(unread, F.lit(True))
+    empty = F.lit(None).cast(f"struct<{schema}, _corrupt string>")
+    rest = [c for c in lines.columns if c != value]
+    return (
+        lines.withColumn("_refused", refused)
+        .withColumn("_request", F.explode(F.when(refused, F.array(empty)).otherwise(parsed)))
+        .select(*rest, "_request.*", F.when(F.col("_refused"), F.coalesce(text, F.lit("no text"))).alias(PROBLEM))
+        .drop("_corrupt")
     )
 
 
@@ -54,19 +78,33 @@ def fill_requests(requests: DataFrame, defaults: Mapping[str, object]) -> DataFr
 def score_requests(
     requests: DataFrame, defaults: Mapping[str, object], model: Model, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Status, predicted class and both probabilities for every request."""
+    """Status, predicted class and both probabilities for every request.
+
+    A record that was not read (see ``parse_requests``) is answered "Error", with nulls. The
+    model is a fitted one of Spark ML or of this library.
+    """
+    has_problem = PROBLEM in requests.columns
+    problem = F.col(PROBLEM) if has_problem else F.lit(None).cast("string")
     scored = model.transform(fill_requests(requests, defaults))
     chances = vector_to_array("probability")
+    ok = problem.isNull()
     return scored.select(
         *keep,
-        "n_filled",
-        F.lit("Success").alias("status"),
-        F.col("prediction").cast("int").alias("pred"),
-        F.get(chances, F.lit(0)).alias("probability_0"),
-        F.get(chances, F.lit(1)).alias("probability_1"),
+        F.when(ok, F.col("n_filled")).alias("n_filled"),
+        F.when(ok, "Success").otherwise("Error").alias("status"),
+        F.when(ok, F.col("prediction").cast("int")).alias("pred"),
+        F.when(ok, F.get(chances, F.lit(0))).alias("probability_0"),
+        F.when(ok, F.get(chances, F.lit(1))).alias("probability_1"),
     )
 
 
+def answers(scored: DataFrame, keep: Sequence[str] = (), out: str = "answer") -> DataFrame:
+    """Answers as JSON text: status and data with pred and probabilities; an error has no data."""
+    data = F.struct("pred", F.array("probability_0", "probability_1").alias("probabilities"))
+    body = F.struct("status", F.when(F.col("status") == "Success", data).alias("data"))
+    return scored.select(*keep, F.to_json(body).alias(out))
+
+
 def score_stream(
     lines: DataFrame,
     value: str,
@@ -77,13 +115,22 @@ def score_stream(
     checkpoint: str,
     keep: Sequence[str] = (),
     available_now: bool = True,
+    dead_letters: str | None = None,
 ) -> StreamingQuery:
-    """Score a stream of JSON records into parquet, exactly once by the sink's own log."""
-    scored = score_requests(parse_requests(lines, value, schema), defaults, model, keep)
-    writer = (
-        scored.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out_path)
-        .option("checkpointLocation", checkpoint)
-    )
+    """Score a stream of JSON records into parquet, below one folder per batch of the stream.
+
+    A batch that is replayed after a failure overwrites its own folder (``batch_id=<n>``), so
+    every record is answered once. With ``dead_letters`` the texts that were not read are
+    written there as well, in the same way.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        requests = parse_requests(batch, value, schema)
+        scored = score_requests(requests, defaults, model, keep)
+        scored.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        if dead_letters is not None:
+            refused = requests.filter(F.col(PROBLEM).isNotNull()).select(*keep, PROBLEM)
+            refused.write.mode("overwrite").parquet(f"{dead_letters}/batch_id={batch_id}")
+
+    writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -3,8 +3,10 @@ from collections import deque
 from random import Random
 
 import pytest
+from pyspark.sql import functions as F
 
-from spanfeat.operators import geo, graph
+from spanfeat.functions.geoexpr import haversine_miles
+from spanfeat.operators import geo, graph, pyramid
 
 R = 3958.7613
 
@@ -60,14 +62,13 @@ def test_self_first_and_isolated_points(spark, rows):
     assert rows(geo.neighbor_counts(out, "id")) == [(0, 2), (1, 2), (2, 1), (3, 1)]
 
 
-@pytest.mark.parametrize("inline", [256, 2])
-def test_nearest_label(spark, inline):
+def test_nearest_label(spark):
     rnd = Random(1)
     refs = [(f"z{i:02d}", rnd.uniform(-80, 80), rnd.uniform(-180, 180)) for i in range(12)]
     pts = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(60)] + [(99, None, 0.0)]
     p = spark.createDataFrame(pts, "id int, lat double, lon double")
     r = spark.createDataFrame(refs, "tz string, la double, lo double")
-    out = geo.nearest_label(p, r, "lat", "lon", "tz", "la", "lo", inline=inline, first_miles=500.0)
+    out = geo.nearest_label(p, r, "lat", "lon", "tz", "la", "lo")
     got = {x.id: (x.label, x.dist) for x in out.collect()}
     assert len(got) == 61 and got[99] == (None, None)
     for i, la, lo in pts[:-1]:
@@ -88,6 +89,65 @@ def test_nearest_label_at_midpoints(spark, extra):
         assert got[k] == min((round(miles((la, lo), (a, o)), 9), n) for n, a, o in refs)[1]
 
 
+@pytest.mark.parametrize("area,radius", [("globe", 0.0), ("globe", 700.0), ("globe", 13000.0), ("poles", 50.0), ("poles", 9000.0), ("date line", 50.0), ("crowd", 50.0)])
+def test_range_counts_equal_brute_force(spark, area, radius):
+    rnd = Random(area)
+    draw = {
+        "globe": lambda: (rnd.uniform(-90, 90), rnd.uniform(-180, 180)),
+        "poles": lambda: (rnd.choice([-1, 1]) * rnd.uniform(88, 90), rnd.uniform(-180, 180)),
+        "date line": lambda: (rnd.uniform(-3, 3), (rnd.uniform(-2, 2) + 360) % 360 - 180),
+        "crowd": lambda: (40.0 + rnd.choice([0, 0, rnd.uniform(-1, 1)]), -100.0),
+    }[area]
+    pts = [(i, *draw()) for i in range(150)] + [(200, 90.0, 0.0), (201, -90.0, 10.0), (202, 0.0, 180.0), (203, 0.0, -180.0)]
+    pts += [(300, None, 1.0), (301, float("nan"), 1.0), (302, float("inf"), 1.0)]
+    df = spark.createDataFrame(pts, "id int, lat double, lon double")
+    got = {r.id: r.n_neighbors for r in geo.range_counts(df, "id", "lat", "lon", radius).collect()}
+    where = {i: (la, lo) for i, la, lo in pts if i < 300}
+    want = {a: sum(miles(where[a], where[b]) <= radius or a == b for b in where) for a in where}
+    assert got == want | {300: 1, 301: 1, 302: 1}
+
+
+def test_range_counts_compare_few_places(spark):
+    """Whole cells are counted by their total: ten times the points take far less than a hundred times the pairs."""
+    rnd = Random(2)
+    work = []
+    for n in (1_000, 10_000):
+        pts = spark.createDataFrame([(rnd.uniform(40, 42), rnd.uniform(-100, -98)) for _ in range(n)], "lat double, lon double")
+        places = pyramid.with_axes(pts.distinct().withColumn("m", F.lit(1)))
+        seen = []
+        total = pyramid.counts_within(places, 50.0, pair_rows=64, probe=seen.append).agg(F.sum("n")).first()[0]
+        work.append((sum(seen), total))
+    assert work[1][1] > 80 * work[0][1]  # pairs within reach
+    assert work[1][0] < 35 * work[0][0] and work[1][0] < work[1][1] / 4
+
+
+@pytest.mark.parametrize("place", ["dense city", "empty ocean"])
+def test_nearest_label_looks_at_few_candidates(spark, place):
+    rnd = Random(3)
+    refs = [(f"r{k:04d}", rnd.uniform(40, 40.3), rnd.uniform(-100, -99.7)) for k in range(700)]
+    if place == "dense city":
+        pts = [(rnd.uniform(40, 40.3), rnd.uniform(-100, -99.7)) for _ in range(100)]
+    else:
+        pts = [(rnd.uniform(-60, 0), rnd.uniform(0, 170)) for _ in range(100)]
+    spots = pyramid.with_axes(spark.createDataFrame(refs, "label string, lat double, lon double"))
+    places = pyramid.with_axes(spark.createDataFrame(pts, "lat double, lon double"))
+    seen = []
+    got = {(r.lat, r.lon): (r.label, r.dist) for r in pyramid.nearest(places, spots, probe=seen.append).collect()}
+    assert max(seen) <= pyramid.CANDIDATES
+    for la, lo in pts:
+        d, name = min((round(miles((la, lo), (a, o)), 9), n) for n, a, o in refs)
+        assert got[la, lo][0] == name and got[la, lo][1] == pytest.approx(d, abs=1e-6)
+
+
+def test_places_that_are_no_numbers(spark):
+    rows_ = [(0, float("nan"), 0.0), (1, 0.0, float("inf")), (2, 0.0, 0.5)]
+    p = spark.createDataFrame(rows_, "id int, lat double, lon double")
+    r = spark.createDataFrame([("a", float("nan"), 0.0), ("b", 0.0, 0.0)], "tz string, la double, lo double")
+    got = {x.id: x.label for x in geo.nearest_label(p, r, "lat", "lon", "tz", "la", "lo").collect()}
+    assert got == {0: None, 1: None, 2: "b"}
+    assert p.select(haversine_miles(F.col("lat"), F.col("lon"), F.lit(0.0), F.lit(0.0)).alias("d")).filter("d IS NOT NULL").count() == 1
+
+
 def test_nearest_label_without_refs(spark, rows):
     p = spark.createDataFrame([(1, 0.0, 0.0)], "id int, lat double, lon double")
     r = spark.createDataFrame([], "tz string, la double, lo double")
@@ -113,16 +173,16 @@ GRAPHS = {
     "dangling": [(1, 2, 3.0), (2, 3, 1.0), (1, 3, 1.0), (4, 1, 2.0)],
     "two parts and loops": [(1, 2, 1.0), (2, 1, 1.0), (3, 3, 2.0), (3, 4, 1.0), (4, 3, 5.0), (1, 2, 4.0)],
     "single loop": [(1, 1, 1.0)],
+    "chain": [(i, i + 1, 1.0) for i in range(60)],
     "hub": [(0, i, float(i)) for i in range(1, 30)] + [(i, 0, 1.0) for i in range(1, 30, 2)],
 }
 
 
-@pytest.mark.parametrize("name", GRAPHS)
-@pytest.mark.parametrize("edge_rows", [10_000, 4])
+@pytest.mark.parametrize("name,edge_rows", [*[(g, 10_000) for g in GRAPHS], ("hub", 4), ("dangling", 1)])
 def test_pagerank(spark, name, edge_rows):
     e = spark.createDataFrame(GRAPHS[name], "src int, dst int, weight double")
-    got = {r.node: r["rank"] for r in graph.pagerank(e, tol=1e-10, max_iter=200, edge_rows=edge_rows).collect()}
-    assert got == pytest.approx(power_iteration(GRAPHS[name]), abs=1e-7)
+    got = {r.node: r["rank"] for r in graph.pagerank(e, tol=1e-10, edge_rows=edge_rows).collect()}
+    assert got == pytest.approx(power_iteration(GRAPHS[name]), abs=1e-10)
     assert sum(got.values()) == pytest.approx(1.0)
 
 
@@ -173,6 +233,47 @@ def test_betweenness(spark, directed, edge_rows, batch):
     assert {r.node: r.betweenness for r in out.collect()} == pytest.approx(brandes(edges, directed), abs=1e-9)
 
 
+def test_sample_size_and_pairs(spark):
+    assert graph.path_sample_size(0.1, 0.1, 10) == math.ceil(50 * (3 + 1 + math.log(10)))
+    nodes = spark.createDataFrame([(f"n{i}",) for i in range(7)], "node string")
+    pairs = graph.sample_pairs(nodes, 7, 4200, seed=3).collect()
+    assert len(pairs) == 4200 and all(p.source != p.target for p in pairs)
+    count = {}
+    for p in pairs:
+        count[p.source, p.target] = count.get((p.source, p.target), 0) + 1
+    assert len(count) == 42 and all(50 < c < 160 for c in count.values())
+
+
+def test_sampled_betweenness_stays_within_its_bound(spark):
+    """A hundred seeds at once: the largest error of at least 95 is below epsilon (delta 0.05)."""
+    rnd = Random(11)
+    edges = [(rnd.randrange(16), rnd.randrange(16)) for _ in range(40)] + [(16, 17), (17, 1), (2, 16)]
+    e = spark.createDataFrame(edges, "src int, dst int")
+    exact = brandes(edges, True)
+    n, epsilon = len(exact), 0.15
+    links = graph._Links(e, True, 10_000)
+    stretch = n / (n - 2)
+    count = graph.path_sample_size(epsilon / stretch, 0.05, graph._vertex_bound(links))
+    nodes = sorted(exact)
+    rows_ = [(k, *rnd.sample(nodes, 2)) for k in range(100 * count)]
+    draws = spark.createDataFrame(rows_, "sample long, source int, target int")
+    hits = graph._draw_paths(links, draws, seed=5)
+    table = hits.groupBy((F.col("sample") / count).cast("int").alias("seed"), "node").count().collect()
+    got = {(r.seed, r.node): r["count"] * stretch / count for r in table}
+    worst = [max(abs(exact[k] - got.get((s, k), 0.0)) for k in exact) for s in range(100)]
+    assert sum(w <= epsilon for w in worst) >= 95
+    mean = {k: sum(got.get((s, k), 0.0) for s in range(100)) / 100 for k in exact}
+    assert mean == pytest.approx(exact, abs=0.02)  # every path of a pair is as likely
+
+
+@pytest.mark.parametrize("directed", [True, False])
+def test_betweenness_sampled(spark, directed):
+    edges = [(i, (i + 1) % 12) for i in range(12)] + [(0, 6), (3, 20)]
+    e = spark.createDataFrame(edges, "src int, dst int")
+    out = graph.betweenness_sampled(e, epsilon=0.05, directed=directed, seed=2, sources_per_batch=7)
+    assert {r.node: r.betweenness for r in out.collect()} == pytest.approx(brandes(edges, directed), abs=0.05)
+
+
 def test_edge_weights(spark, rows):
     trips = [("ABE", "ATL")] * 3 + [("ABE", "CLT"), ("ATL", "ABE")]
     df = spark.createDataFrame(trips, "o string, d string")
