@@ -2,71 +2,22 @@
 
 from __future__ import annotations
 
-import json
-import os
-import re
 import struct
 import zlib
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanfeat.llm.common import text_rows
+from spanfeat.llm.flat_text import flat, parts
+from spanfeat.llm.piece_ids import piece_encoder
 from spanfeat.session import staged
 
 END = 1
 BUCKETS, DIMS, BITS = 256, 3, 10
-# Words whose ids a worker remembers, and the longest of them.
-KNOWN_WORDS, KNOWN_CHARS = 400_000, 64
-# Fixed value: a pre-tokenizer under which white space parts words and is dropped.
-APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# Parts of a text that it encodes alike together or apart: ASCII digits, ASCII letters
-# before an ASCII character that is no letter, and else what stands between white space.
-_PART = re.compile(r"[0-9]|[A-Za-z]++(?![^ \t\n\r!-~])|[^0-9 \t\n\r]+")
-
-
-@lru_cache(maxsize=1)
-def encoder(path: str):
-    """Function from a text to its ids as little-endian 32-bit numbers.
-
-    Where the vocabulary splits as ``APART`` does, a text is encoded part by part and the
-    ids of parts seen before are looked up; the table is emptied when full. Other
-    vocabularies encode whole texts.
-    """
-    # one task per core already; threads inside would only wait for each other
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(path)
-    splits = (json.loads(tok.to_str())["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
-    known: dict[str, bytes] = {}
-
-    def pack_ids(e) -> bytes:
-        return struct.pack(f"<{len(e.ids)}I", *e.ids)
-
-    def whole(text: str) -> bytes:
-        return pack_ids(tok.encode(text, add_special_tokens=False))
-
-    def by_parts(text: str) -> bytes:
-        if "<|" in text:  # may hold a special token
-            return whole(text)
-        parts = _PART.findall(text)
-        new = [w for w in set(parts) if w not in known]
-        if len(known) + len(new) > KNOWN_WORDS:
-            known.clear()
-            new = list(set(parts))
-        known.update(zip(new, map(pack_ids, tok.encode_batch_fast(new, add_special_tokens=False))))
-        out = b"".join([known[w] for w in parts])
-        for w in new:
-            if len(w) > KNOWN_CHARS:
-                del known[w]
-        return out
-
-    first = splits[0]
-    apart = first.get("pattern") == {"Regex": APART} and first.get("behavior") == "Removed" and first.get("invert")
-    return by_parts if apart else whole
 
 
 @lru_cache(maxsize=1)
@@ -74,42 +25,46 @@ def _signs() -> np.ndarray:
     return np.random.default_rng(5).standard_normal((BUCKETS, DIMS))
 
 
-def hilbert_key(point: np.ndarray, bits: int = BITS) -> int:
-    """Place along the Hilbert curve of a cell with integer coordinates below 2 ** bits.
+def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Places along the Hilbert curve of cells (rows) with integer coordinates below 2 ** bits.
 
     The coordinates' axes are rotated and mirrored level by level so that neighbouring
     sub-cubes join, then the Gray code of the interleaved bits is decoded.
     """
-    x = [int(v) for v in point]
+    x = [points[:, i].astype(np.int64) for i in range(points.shape[1])]
     dims, q = len(x), 1 << (bits - 1)
     while q > 1:
         low = q - 1
         for i in range(dims):
-            if x[i] & q:
-                x[0] ^= low
-            else:
-                swap = (x[0] ^ x[i]) & low
-                x[0] ^= swap
-                x[i] ^= swap
+            flip = (x[i] & q) > 0
+            swap = np.where(flip, 0, (x[0] ^ x[i]) & low)
+            x[0] = np.where(flip, x[0] ^ low, x[0] ^ swap)
+            x[i] = x[i] ^ swap if i else x[0]
         q >>= 1
-    gray = 0
+    gray = np.zeros(len(points), np.int64)
     for b in range(bits - 1, -1, -1):
         for i in range(dims):
             gray = gray << 1 | (x[i] >> b & 1)
-    key = 0
-    while gray:
-        key ^= gray
-        gray >>= 1
-    return key
+    shift = 1
+    while shift < dims * bits:
+        gray ^= gray >> shift
+        shift *= 2
+    return gray
+
 
+def cells(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Cells of documents: hashed token shares, projected with fixed signs and squashed.
 
-def cell(ids: np.ndarray) -> np.ndarray:
-    """Cell of a document: hashed token shares, projected with fixed signs and squashed."""
-    if not len(ids):
-        return np.zeros(DIMS, int)
+    ``ends`` are the documents' offsets in ``ids``; a document without ids lies in the cell
+    of the zero vector's corner.
+    """
+    n = np.diff(ends)
     slot = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)
-    vector = np.bincount(slot.astype(np.int64), minlength=BUCKETS) / len(ids)
-    return (((np.tanh(vector @ _signs() * 4) + 1) / 2) * ((1 << BITS) - 1)).astype(int)
+    row = np.repeat(np.arange(len(n)), n)
+    sums = np.stack([np.bincount(row, weights=_signs()[slot, d], minlength=len(n)) for d in range(DIMS)], axis=1)
+    made = (((np.tanh(sums / np.maximum(n, 1)[:, None] * 4) + 1) / 2) * ((1 << BITS) - 1)).astype(np.int64)
+    made[n == 0] = 0
+    return made
 
 
 def sequence_bounds(total: int, size: int) -> list[int]:
@@ -151,12 +106,25 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048) -> DataFrame:
     gives no rows. ``tokenizer`` is the path of the vocabulary file on every machine.
     """
 
-    def encode(doc_id, text):
-        data = encoder(tokenizer)(text or "")
-        ids = np.frombuffer(data, dtype="<u4")
-        yield doc_id, len(ids) + 1, hilbert_key(cell(ids)), zlib.compress(data + struct.pack("<I", END), 1)
-
-    tokens = text_rows(docs, encode, ["doc_id", "text"], "doc_id long, n long, curve long, ids binary")
+    end = struct.pack("<I", END)
+
+    def encode(batches):
+        encoder = piece_encoder(tokenizer)
+        for batch in batches:
+            for part in parts(batch, "text"):
+                ids, ends = encoder.encode(*flat(part.column("text")))
+                data = ids.astype("<u4").tobytes()
+                packed = [zlib.compress(data[4 * a : 4 * b] + end, 1) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"), pa.array(np.diff(ends) + 1),
+                        pa.array(hilbert_keys(cells(ids, ends))), pa.array(packed, pa.binary()),
+                    ],
+                    names=["doc_id", "n", "curve", "ids"],
+                )
+
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    tokens = source.mapInArrow(encode, "doc_id long, n long, curve long, ids binary")
     tokens = staged(tokens.withColumn("row", F.monotonically_increasing_id()), "tokens")
     order = ["curve", "doc_id", "row"]
     light = tokens.select("row", "doc_id", "n", "curve").repartitionByRange(*order)

@@ -11,12 +11,13 @@ from __future__ import annotations
 import json
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
 # Pieces whose ids a worker remembers, and ids it remembers for them; then it starts anew.
-KNOWN_PIECES, KNOWN_IDS = 1_000_000, 8_000_000
+KNOWN_PIECES, KNOWN_IDS = 600_000, 3_000_000
 # Patterns of the two kinds of vocabulary.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -129,25 +130,27 @@ class PieceEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[bytes, int] = {}
         self.sizes = np.empty(0, np.int64)
         self.ids = np.empty(0, np.uint32)
 
-    def _lookup(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _lookup(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Places in ``self.ids`` and sizes of distinct pieces."""
         if len(self.known) + len(pieces) > KNOWN_PIECES or len(self.ids) > KNOWN_IDS:
             self.forget()
-        place = [self.known.get(p, -1) for p in pieces]
-        new = [p for p, k in zip(pieces, place) if k < 0]
-        if new:
-            made = [e.ids for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        get = self.known.get
+        place = np.array([get(p, -1) for p in pieces], np.int64)
+        absent = np.flatnonzero(place < 0)
+        if len(absent):
+            new = [pieces[k] for k in absent.tolist()]
+            first = len(self.known)
+            place[absent] = np.arange(first, first + len(new))
+            self.known.update(zip(new, range(first, first + len(new))))
+            made = [e.ids for e in self.tok.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)]
             self.sizes = np.append(self.sizes, np.fromiter(map(len, made), np.int64, len(made)))
-            flat_ids = [i for ids in made for i in ids]
-            self.ids = np.append(self.ids, np.array(flat_ids, np.uint32))
-            place = [self.known[p] for p in pieces]
+            flat_ids = np.fromiter(chain.from_iterable(made), np.uint32, int(self.sizes[first:].sum()))
+            self.ids = np.append(self.ids, flat_ids)
         ends = np.cumsum(self.sizes)
-        place = np.array(place, np.int64)
         return ends[place] - self.sizes[place], self.sizes[place]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +170,7 @@ class PieceEncoder:
         pieces = pa.Array.from_buffers(
             pa.large_binary(), len(at), [None, pa.py_buffer(tiles), pa.py_buffer(np.ascontiguousarray(data))]
         ).dictionary_encode()
-        start, size = self._lookup([p.decode() for p in pieces.dictionary.to_pylist()])
+        start, size = self._lookup(pieces.dictionary.to_pylist())
         code = pieces.indices.to_numpy()
         sizes = size[code]
         ends = np.concatenate([[0], np.cumsum(sizes)])
