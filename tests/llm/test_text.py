@@ -10,7 +10,9 @@ import xxhash
 
 from spanfeat.llm import hilbert_pack, licenses, merkle, pseudonyms, simhash_vp, suffix_dedup, toxicity, warc
 from spanfeat.llm.decontaminate import decontaminate, leaks
+from spanfeat.llm.flat_text import flat
 from spanfeat.llm.line_dedup import line_dedup
+from spanfeat.llm.piece_ids import PieceEncoder
 from spanfeat.llm.queries import tokenizer_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, pos int, key string"
@@ -160,27 +162,65 @@ def test_feistel_is_a_permutation(spark):
     assert made.distinct().count() == 1000
 
 
-def test_merkle(docs, rows_in, rows):
-    got = rows(merkle.fingerprints(docs), "doc_id", "n_chars", "edited_sha256", "near_edited", "near_next")
-    order = sorted(((r[0], r[1] or "") for r in rows_in))
-    want = []
-    for (d, t), (_, n) in zip(order, order[1:] + order[:1]):
+def leaf_bag(text):
+    from collections import Counter
+
+    return Counter(leaf for p in re.findall(r"[^\n]*\n|[^\n]+", text) for leaf in merkle.leaves(p))
+
+
+def bag_likeness(a, b):
+    if a == b:
+        return 1.0
+    x, y = leaf_bag(a), leaf_bag(b)
+    total = sum(x.values()) + sum(y.values())
+    return min(2 * sum((x & y).values()) / total, 0.9999)
+
+
+def test_merkle(spark, docs, rows_in):
+    """All columns against bags of leaves; rows of one doc_id follow each other by hash."""
+    rng = np.random.default_rng(12)
+    more = [(100 + k, ". ".join(" ".join(words(50 + k % 7, 30)[j : j + 9]) + "\n" * int(rng.integers(0, 3)) for j in range(0, 30, 3)), "", "", 1, 1, "k") for k in range(60)]
+    df = docs.unionByName(spark.createDataFrame(more, SCHEMA)).repartition(3)
+    got = [r.asDict() for r in merkle.fingerprints(df).collect()]
+    texts = sorted(((r[0], r[1] or "") for r in [*rows_in, *more]))
+    assert sorted(r["doc_id"] for r in got) == [d for d, _ in texts]
+    for (d, t), (_, n) in zip(texts, texts[1:] + texts[:1]):
         cut = len(t) // 4
-        want.append((d, len(t), hashlib.sha256((t[: len(t) - cut] + n[:cut]).encode()).hexdigest()))
-    assert sorted(r[:3] for r in got) == sorted(want)
-    assert all(0 <= x <= 1 for r in got for x in r[3:])
-    assert [r[4] for r in got if r[0] == 0] == [1.0]  # two empty texts
+        edited = t[: len(t) - cut] + n[:cut]
+        want = (
+            len(t), hashlib.sha256(edited.encode()).hexdigest(), merkle.fingerprint(t).hex(), merkle.fingerprint(edited).hex(),
+            bag_likeness(t, edited), bag_likeness(t, n),
+        )
+        keys = ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+        assert want in [tuple(r[k] for k in keys) for r in got if r["doc_id"] == d]
+    for r in got:
+        assert (r["near_edited"] == 1) == (r["fingerprint"][:32] == r["edited_fingerprint"][:32]) == (not r["edited_sections"])
 
 
 def test_merkle_locates_edits():
-    text = "\n".join(" ".join(words(k, 40)) + "." for k in range(40))
-    a, b = merkle.fingerprint(text), merkle.fingerprint(text.replace("w", "v", 1))
-    assert a != b and merkle.likeness(a, b) > 0.9
-    assert 0 < len(merkle.differing(a, b)) < a.count("/") / 2
-    assert merkle.likeness(a, a) == 1 and merkle.likeness(a, merkle.fingerprint("")) == 0
+    paragraphs = [" ".join(words(k, 40)) + ".\n" for k in range(40)]
+    text = "".join(paragraphs)
+    a = merkle.fingerprint(text)
+    for k in (0, 13, 39):
+        changed = "".join([*paragraphs[:k], paragraphs[k].replace("w", "v", 1), *paragraphs[k + 1 :]])
+        b = merkle.fingerprint(changed)
+        near, sections = merkle.compare(a, b)
+        assert a != b and 0.9 < near < 1
+        tree = merkle.Tree(a)
+        held = [[j for j in tree.children(0, s)] for s in range(tree.sizes[0])]
+        assert any(k in held[s] for s in sections) and len(sections) <= 2  # its own section, or one more where a border moved
+    assert merkle.compare(a, a) == (1.0, []) and merkle.compare(a, merkle.fingerprint(""))[0] == 0
     assert "".join(merkle.leaves("A b. C d? " + "e " * 300)) == "A b. C d? " + "e " * 300
 
 
+def test_merkle_spreads_one_repeated_row(spark):
+    df = spark.range(400).selectExpr("7L AS doc_id", "'same text. twice.' AS text").unionByName(
+        spark.createDataFrame([(1, "a"), (9, "z")], "doc_id long, text string")
+    )
+    got = merkle.fingerprints(df).groupBy("doc_id", "near_next").count().collect()
+    assert sorted((r[0], r[2]) for r in got) == [(1, 1), (7, 1), (7, 399), (9, 1)]
+
+
 def test_merkle_empty(empty):
     assert merkle.fingerprints(empty).count() == 0
 
@@ -260,7 +300,8 @@ def test_packing(docs, empty, rows_in):
 
 
 def test_hilbert_curve_visits_neighbours():
-    cells = sorted(((hilbert_pack.hilbert_key(np.array([x, y, z]), 3), x, y, z) for x in range(8) for y in range(8) for z in range(8)))
+    points = np.array([(x, y, z) for x in range(8) for y in range(8) for z in range(8)])
+    cells = sorted((int(k), *p) for k, p in zip(hilbert_pack.hilbert_keys(points, 3), points.tolist()))
     assert [c[0] for c in cells] == list(range(512))
     assert all(sum(abs(a - b) for a, b in zip(p[1:], q[1:])) == 1 for p, q in zip(cells, cells[1:]))
 
@@ -306,12 +347,15 @@ def test_pipeline_stages_on_empty_documents(spark):
 
 
 def test_encoder_by_parts_equals_whole_texts(rows_in):
+    import pyarrow as pa
     from tokenizers import Tokenizer
 
-    plain, encode = Tokenizer.from_file(tokenizer_path()), hilbert_pack.encoder(tokenizer_path())
     rng = np.random.default_rng(8)
-    marks = list("aAbZ'sStTreEvVmdlL019 \t\n\r.,-<>|=éÉIİßΣσ京²½٠😀_&") + ["é", "̸", "̇", "‍", "\xa0", "\x1c", "\x85", "<|endoftext|>"]
+    marks = list("aAbZ'sStTreEvVmdlL019 \t\n\r.,-<>|=éÉIİßΣσ京²½٠😀_&") + ["é", "̸", "̇", "‍", "\xa0", "\x1c", "\x85", "<|endoftext|>"]
     odd = ["".join(rng.choice(marks, n)) for n in rng.integers(0, 15, 4000)]
-    for text in [*odd, *(r[1] or "" for r in rows_in), "x" * 5000 + " " + "é" * 300]:
-        ids = plain.encode(text, add_special_tokens=False).ids
-        assert encode(text) == np.array(ids, "<u4").tobytes()
+    texts = [*odd, *(r[1] or "" for r in rows_in), "x" * 5000 + " " + "é" * 300]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        plain = Tokenizer.from_file(tokenizer_path(name))
+        ids, ends = PieceEncoder(tokenizer_path(name)).encode(*flat(pa.array(texts)))
+        for k, text in enumerate(texts):
+            assert ids[ends[k] : ends[k + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids
