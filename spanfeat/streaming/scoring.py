@@ -7,12 +7,14 @@ batches of a stream; neither adds a shuffle.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 # The fields of a scoring request and their types.
 REQUEST_SCHEMA = (
@@ -48,23 +50,32 @@ def parse_requests(lines: DataFrame, value: str, schema: str) -> DataFrame:
     """Request records from JSON text, one row each; a text may hold one record or an array.
 
     Missing keys give nulls. The column ``problem`` is null for a record that was read; it
-    holds the text of a record that was not: no JSON, no record, or a field of another type.
+    holds the text of a record that was not: no JSON, no record, or a field that its type
+    cannot hold.
     Of an array with such a record the whole text is refused, since its records cannot be
     told apart. A null text is "no text", an empty array gives no row.
     """
     text = F.col(value).cast("string")
-    whole = f"array<struct<{schema}, _corrupt string>>"
+    fields = StructType.fromDDL(schema).fields
+    kind = f"struct<{', '.join(f'`{f.name}`: string' for f in fields)}, _corrupt: string>"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    parsed = F.from_json(text, whole, options)
-    unread = parsed.isNull() | F.exists(parsed, lambda r: r.isNull() | r["_corrupt"].isNotNull())
-    refused = F.coalesce(unread, F.lit(True))
-    empty = F.lit(None).cast(f"struct<{schema}, _corrupt string>")
+    parsed = F.from_json(text, f"array<{kind}>", options)
+
+    def bad(r: Column) -> Column:
+        """No record, or a field that cannot be read as its type."""
+        wrong = [r[f.name].isNotNull() & r[f.name].try_cast(f.dataType).isNull() for f in fields]
+        return reduce(lambda a, b: a | b, wrong, r.isNull() | r["_corrupt"].isNotNull())
+
+    refused = F.coalesce(parsed.isNull() | F.exists(parsed, bad), F.lit(True))
     rest = [c for c in lines.columns if c != value]
     return (
         lines.withColumn("_refused", refused)
-        .withColumn("_request", F.explode(F.when(refused, F.array(empty)).otherwise(parsed)))
-        .select(*rest, "_request.*", F.when(F.col("_refused"), F.coalesce(text, F.lit("no text"))).alias(PROBLEM))
-        .drop("_corrupt")
+        .withColumn("_request", F.explode(F.when(refused, F.array(F.lit(None).cast(kind))).otherwise(parsed)))
+        .select(
+            *rest,
+            *[F.col("_request")[f.name].try_cast(f.dataType).alias(f.name) for f in fields],
+            F.when(F.col("_refused"), F.coalesce(text, F.lit("no text"))).alias(PROBLEM),
+        )
     )
 
 

@@ -1,11 +1,12 @@
 import os
+import re
 import sys
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from spanfeat.session import build_session  # noqa: E402
+from spanfeat.session import build_session, checkpoint_root, clear_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -24,7 +25,11 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    root = checkpoint_root(session).removeprefix("file:")
+    clear_scratch(session)
+    left = [n for n in os.listdir(root) if re.fullmatch(r".+-[0-9a-f]{32}", n)] if os.path.isdir(root) else []
     session.stop()
+    assert not left, f"scratch tables left behind: {left[:5]}"
 
 
 @pytest.fixture

@@ -1,11 +1,13 @@
 import json
 from datetime import datetime
+from itertools import combinations
 from random import Random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spanfeat.operators import learning, metrics, splits, stats
+from spanfeat.operators import learning, logit, metrics, splits, stats, tree
 from spanfeat.sources import readers, writers
 from spanfeat.streaming import scoring
 
@@ -62,6 +64,97 @@ def test_weighted_logistic_beats_majority(spark, data):
     assert names[:2] == ["x", "z"] and {"color_vec_red", "color_vec_blue"} <= set(names)
 
 
+def test_newton_solves_the_weighted_problem(spark, data):
+    """Equal to the optimum that an independent solver in NumPy finds, with and without penalty."""
+    weighted = stats.with_class_weights(data, stats.class_weights(data, "label"), "label").repartition(5)
+    rows_ = weighted.orderBy("id").collect()
+    colors = sorted({r.color for r in rows_})
+    x = np.array([[r.x, r.z, *[float(r.color == c) for c in colors]] for r in rows_])
+    x = np.column_stack([np.ones(len(x)), (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)])
+    y, w = np.array([r.label for r in rows_]), np.array([r.class_weight for r in rows_])
+    for reg in (0.0, 0.01, 1.0):
+        model = logit.fit_logit(weighted, ["x", "z"], ["color"], "label", "class_weight", reg=reg)
+        ridge = np.array([0.0] + [reg] * 5)
+        b = np.zeros(6)
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-x @ b))
+            h = (x * (w * p * (1 - p))[:, None]).T @ x / w.sum() + np.diag(ridge)
+            b += np.linalg.pinv(h, rcond=1e-12) @ (x.T @ (w * (y - p)) / w.sum() - ridge * b)
+        p = 1 / (1 + np.exp(-x @ b))
+        scored = weighted.select("id", model.probability().alias("p")).orderBy("id").collect()
+        assert [r.p for r in scored] == pytest.approx(p.tolist(), abs=1e-8)
+        assert model.change < 1e-6 and model.steps < 20
+    unseen = spark.createDataFrame([(0.0, 0.0, "purple")], "x double, z double, color string")
+    assert unseen.select(model.probability().alias("p")).first().p == pytest.approx(1 / (1 + np.exp(-model.intercept)))
+    out = model.transform(unseen).first()
+    assert out.prediction in (0.0, 1.0) and len(out.probability) == 2
+    assert model.coefficients(unseen).count() == 6
+
+
+def test_newton_refuses_what_it_cannot_fit(spark, data):
+    with pytest.raises(RuntimeError, match="no convergence"):
+        logit.fit_logit(data.withColumn("y", (F.col("x") > 0).cast("int")), ["x"], [], "y", max_steps=12)
+    with pytest.raises(ValueError, match="lack"):
+        logit.fit_logit(data.withColumn("x", F.when(F.col("id") > 3, F.col("x"))), ["x"], [], "label")
+    with pytest.raises(ValueError, match="no rows"):
+        logit.fit_logit(data.limit(0), ["x"], [], "label")
+
+
+TOY_SCHEMA = "label double, origin string, dest string, dep int, arr int, temp double"
+
+
+def test_tree_learns_where_missing_values_go(spark):
+    df = readers.from_rows(spark, TOY, TOY_SCHEMA)
+    model = tree.fit_tree(df, ["dep", "arr", "temp"], ["origin", "dest"], "label", max_depth=5)
+    scored = model.transform(df)
+    assert scored.filter("prediction = label").count() == 12
+    assert sum(model.importances().values()) == pytest.approx(1.0)
+    late = df.withColumn("temp", F.when(F.col("temp") < 200, F.col("temp")))
+    late = late.withColumn("label", (F.col("temp").isNull() | (F.col("temp") > 150)).cast("double"))
+    root = tree.fit_tree(late, ["temp"], [], "label", max_depth=1).splits[1]
+    assert not root.default_left and 21 < root.threshold < 22  # missing on the right, with the high ones
+
+
+def brute_split(rows_, numeric):
+    """Best root split by trying all thresholds, all subsets and both sides for the missing."""
+    best = (0.0,)
+
+    def gini(part):
+        n, p = len(part), sum(r[-1] for r in part)
+        return 2 * p * (n - p) / n if n else 0.0
+
+    for f in range(len(rows_[0]) - 1):
+        values = sorted({r[f] for r in rows_ if r[f] is not None})
+        sides = [set(values[: k + 1]) for k in range(len(values) - 1)]
+        if f >= numeric:
+            sides = [set(c) for k in range(1, len(values)) for c in combinations(values, k)]
+        for left_values in sides:
+            for default in (True, False):
+                left = [r for r in rows_ if (default if r[f] is None else r[f] in left_values)]
+                right = [r for r in rows_ if not (default if r[f] is None else r[f] in left_values)]
+                best = max(best, ((gini(rows_) - gini(left) - gini(right)) / len(rows_),))
+    return best[0]
+
+
+def test_root_split_is_the_best_of_all(spark):
+    rnd = Random(3)
+    for _ in range(3):
+        rows_ = [
+            (rnd.choice([None, 1.0, 2.0, 3.0, 4.0]), rnd.choice([None, *"abcde"]), rnd.randrange(2)) for _ in range(60)
+        ]
+        df = spark.createDataFrame(rows_, "n double, c string, y int")
+        root = tree.fit_tree(df, ["n"], ["c"], "y", max_depth=1).splits[1]
+        assert root.gain == pytest.approx(brute_split(rows_, 1), abs=1e-8)
+
+
+def test_tree_without_a_split(spark):
+    df = spark.createDataFrame([(1.0, 1), (1.0, 0), (None, 1)], "n double, y int")
+    model = tree.fit_tree(df.filter("n = 1"), ["n"], [], "y")
+    assert model.splits == {} and df.select(model.probability().alias("p")).distinct().count() == 1
+    with pytest.raises(ValueError, match="no rows"):
+        tree.fit_tree(df.limit(0), ["n"], [], "y")
+
+
 def test_exact_auc_agrees_with_binned_evaluator(spark, data):
     model = learning.build_pipeline(["x"], [], learning.logistic("label")).fit(data)
     out = model.transform(data)
@@ -154,11 +247,26 @@ def test_batch_requests(spark, served):
     lines = spark.createDataFrame(request_lines(), "id int, value string")
     out = scoring.score_requests(scoring.parse_requests(lines, "value", scoring.REQUEST_SCHEMA), defaults, model, ["id"])
     got = {r.id: r for r in out.collect()}
-    assert [got[i].n_filled for i in (1, 2, 3, 4, 5)] == [0, 2, 0, 15, 15]
-    for r in got.values():
-        assert r.probability_0 + r.probability_1 == pytest.approx(1.0) and r.status == "Success"
-        assert r.pred == int(r.probability_1 > 0.5)
-    assert got[4].probability_1 == got[5].probability_1
+    assert [got[i].n_filled for i in (1, 2, 3, 4, 5)] == [0, 2, 0, None, 15]
+    assert [got[i].status for i in (1, 2, 3, 4, 5)] == ["Success"] * 3 + ["Error", "Success"]
+    assert got[4].pred is got[4].probability_0 is got[4].probability_1 is None
+    for r in (got[i] for i in (1, 2, 3, 5)):
+        assert r.probability_0 + r.probability_1 == pytest.approx(1.0) and r.pred == int(r.probability_1 > 0.5)
+    texts = {r.id: json.loads(r.answer) for r in scoring.answers(out, ["id"]).collect()}
+    assert texts[1]["data"] == {"pred": got[1].pred, "probabilities": [got[1].probability_0, got[1].probability_1]}
+    assert texts[4] == {"status": "Error"}
+
+
+def test_unreadable_requests(spark):
+    texts = [
+        (1, '{"a": 1, "b": "x"}'), (2, '[{"a": 1}, {"a": 2}]'), (3, "no json"), (4, None), (5, '{"a": "word"}'),
+        (6, "[]"), (7, '[{"a": 1}, 5]'), (8, "17"), (9, ""), (10, "{}"),
+    ]
+    lines = spark.createDataFrame(texts, "id int, value string")
+    got = sorted(tuple(r) for r in scoring.parse_requests(lines, "value", "a double, b string").select("id", "a", "problem").collect())
+    read = [(i, a) for i, a, p in got if p is None]
+    assert read == [(1, 1.0), (2, 1.0), (2, 2.0), (10, None)]
+    assert {i: p for i, a, p in got if p is not None} == {3: "no json", 4: "no text", 5: '{"a": "word"}', 7: '[{"a": 1}, 5]', 8: "17", 9: ""}
 
 
 def test_stream_equals_batch(spark, served, tmp_path):
@@ -168,12 +276,25 @@ def test_stream_equals_batch(spark, served, tmp_path):
     lines = spark.createDataFrame(request_lines(), schema)
     lines.repartition(3).write.parquet(source)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
-    q = scoring.score_stream(
-        stream, "value", scoring.REQUEST_SCHEMA, defaults, model, sink, str(tmp_path / "ck"), ["id"]
-    )
-    assert q.awaitTermination(120) and q.exception() is None
+    dead, ck = str(tmp_path / "dead"), str(tmp_path / "ck")
+
+    def start():
+        q = scoring.score_stream(stream, "value", scoring.REQUEST_SCHEMA, defaults, model, sink, ck, ["id"], dead_letters=dead)
+        assert q.awaitTermination(120) and q.exception() is None
+
+    start()
     batch = scoring.score_requests(scoring.parse_requests(lines, "value", scoring.REQUEST_SCHEMA), defaults, model, ["id"])
-    assert sorted(spark.read.parquet(sink).collect()) == sorted(batch.collect())
+    want = sorted(map(str, batch.collect()))
+    assert sorted(map(str, spark.read.parquet(sink).drop("batch_id").collect())) == want
+    assert [(r.id, r.problem) for r in spark.read.parquet(dead).collect()] == [(4, "{not json")]
+    # a batch whose commit was lost is replayed and overwrites itself
+    commits = sorted((tmp_path / "ck" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last = commits[-1]
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    start()
+    assert sorted(map(str, spark.read.parquet(sink).drop("batch_id").collect())) == want
+    assert spark.read.parquet(dead).count() == 1
 
 
 def test_predictions_and_run_log_round_trip(spark, data, tmp_path):

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanfeat.functions.timeexpr import parse_day
-from spanfeat.operators import joins, metrics, ordering, quality, splits, stats
+from spanfeat.operators import gramian, joins, metrics, ordering, quality, splits, stats
+from spanfeat.operators.skew import spread_join
 
 
 def test_validity_join_bounds_and_overlaps(spark, rows):
@@ -27,6 +28,51 @@ def test_validity_join_bounds_and_overlaps(spark, rows):
     assert rows(left, "id", "name") == [(1, "x"), (2, None), (3, "y"), (3, "z"), (4, None)]
 
 
+def test_validity_join_against_brute_force(spark):
+    """Periods from seconds to years, open ends, nulls, repeated rows and empty periods."""
+    rnd = Random(8)
+    t0 = datetime(2020, 1, 1)
+    dims, facts = [], []
+    for i in range(120):
+        begin = t0 + timedelta(seconds=rnd.randrange(5 * 365 * 86400))
+        end = begin + timedelta(seconds=rnd.choice([-200000, 0, 5, 3600, 86400, 10**6, 10**8]))
+        dims.append((rnd.choice("ab"), None if i == 7 else begin, None if i == 8 else end, i))
+    for i in range(300):
+        facts.append((i // 2, rnd.choice(["a", "b", "c", None]), None if i == 9 else t0 + timedelta(seconds=rnd.randrange(6 * 365 * 86400))))
+    d = spark.createDataFrame(dims, "st string, begin timestamp_ntz, end timestamp_ntz, dim int")
+    f = spark.createDataFrame(facts, "id int, st string, ts timestamp_ntz")
+    grace = timedelta(hours=24)
+    hits = [
+        (i, n) for i, st, ts in facts for k, b, e, n in dims
+        if st == k and None not in (ts, b, e) and b <= ts <= e + grace
+    ]
+    inner = joins.validity_join(f, d, "st", "ts", "begin", "end")
+    assert inner.columns == ["id", "st", "ts", "begin", "end", "dim"]
+    assert sorted((r.id, r.dim) for r in inner.collect()) == sorted(hits)
+    left = joins.validity_join(f, d, "st", "ts", "begin", "end", how="left")
+    matched = {i for i, _ in hits}
+    alone = sum(1 for i, st, ts in facts if not any(st == k and None not in (ts, b, e) and b <= ts <= e + grace for k, b, e, _ in dims))
+    got = left.collect()
+    assert sorted((r.id, r.dim) for r in got if r.dim is not None) == sorted(hits)
+    assert sum(r.dim is None for r in got) == alone and matched
+
+
+def test_validity_join_of_one_key_with_many_periods(spark):
+    """Ten thousand periods and facts on one key: candidates stay near the results, far from all pairs."""
+    day = timedelta(days=1)
+    t0 = datetime(2000, 1, 1)
+    dims = spark.createDataFrame([("k", t0 + i * day, t0 + (i + 1) * day, i) for i in range(10_000)], "st string, begin timestamp_ntz, end timestamp_ntz, dim int")
+    facts = spark.createDataFrame([("k", t0 + timedelta(hours=11) + i * day) for i in range(10_000)], "st string, ts timestamp_ntz")
+    out = joins.validity_join(facts, dims, "st", "ts", "begin", "end", timedelta(0))
+    assert out.count() == 10_000
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "_fact_chunk" in plan
+    level = joins._chunk_level(F.lit(86_400_000_000)).alias("l")
+    width = 2 ** spark.range(1).select(level).first()[0]
+    per_chunk = width / 86_400_000_000 + 1
+    assert per_chunk < 3  # periods of a chunk that a fact meets
+
+
 def test_join_roles(spark, rows):
     f = spark.createDataFrame([(1, "A", "B"), (2, "A", "Q")], "id int, o string, d string")
     dim = spark.createDataFrame([("A", "s1", 1.0), ("B", "s2", 2.0)], "iata string, st string, pr double")
@@ -45,6 +91,29 @@ def test_full_outer_merge_null_keys(spark, rows):
     assert sorted(map(str, plain.select("k", "c", "a", "b").collect())) == want
 
 
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_full_outer_merge_keeps_repeated_keys(spark, null_safe):
+    a = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 3.0), (3, None), (None, 9.0)], "k int, a double")
+    b = spark.createDataFrame([(1, 5.0), (1, 6.0), (1, 6.0), (4, 7.0), (4, None), (None, 8.0)], "k int, b double")
+    c = spark.createDataFrame([(1, 0.5), (4, 0.25), (5, 0.125)], "k int, c double")
+    got = joins.full_outer_merge({"a": a, "b": b, "c": c}, ["k"], null_safe=null_safe)
+    if null_safe:
+        same = lambda x, y: x["k"].eqNullSafe(y["k"])
+        ab = a.join(b, same(a, b), "full").select(F.coalesce(a["k"], b["k"]).alias("k"), "a", "b")
+        want = ab.join(c, same(ab, c), "full").select(F.coalesce(ab["k"], c["k"]).alias("k"), "a", "b", "c")
+    else:
+        want = a.join(b, "k", "full").join(c, "k", "full")
+    assert sorted(map(str, got.select("k", "a", "b", "c").collect())) == sorted(map(str, want.select("k", "a", "b", "c").collect()))
+
+
+def test_with_one_row_is_strict(spark, rows):
+    df = spark.createDataFrame([(1,), (2,)], "k int")
+    one = spark.createDataFrame([(7, "x")], "a int, b string")
+    assert rows(joins.with_one_row(df, one)) == [(1, 7, "x"), (2, 7, "x")]
+    with pytest.raises(Exception, match="(?i)more than one row|SCALAR_SUBQUERY_TOO_MANY_ROWS"):
+        joins.with_one_row(df, one.unionAll(one)).collect()
+
+
 def test_semi_and_anti_do_not_multiply(spark, rows):
     a = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     b = spark.createDataFrame([(1,), (1,), (None,)], "k int")
@@ -94,6 +163,70 @@ def test_exact_quantiles_match_numpy(spark, n):
     assert ordering.exact_quantiles(df.filter("v > 1e9"), "v", [0.5]) == [None]
 
 
+def test_quantile_brackets_keep_few_values(spark):
+    df = spark.range(200_000).select(F.pmod(F.xxhash64("id"), F.lit(10**9)).cast("double").alias("v"))
+    n, brackets = ordering.quantile_brackets(df, [0.25, 0.75])
+    kept = df.filter(" OR ".join(f"v BETWEEN {a} AND {b}" for a, b in brackets)).count()
+    assert n == 200_000 and 0 < kept < 0.01 * n
+    vals = [r.v for r in df.collect()]
+    assert ordering.exact_quantiles(df, "v", [0.25, 0.75]) == pytest.approx(list(np.quantile(vals, [0.25, 0.75])))
+
+
+def test_quantiles_survive_a_wrong_bracket(spark, monkeypatch):
+    df = spark.createDataFrame([(float(v),) for v in range(50)], "v double")
+    monkeypatch.setattr(ordering, "quantile_brackets", lambda values, probs, accuracy: (50, [(40.0, 45.0)] * len(probs)))
+    assert ordering.exact_quantiles(df, "v", [0.1, 0.85]) == pytest.approx([4.9, 41.65])
+
+
+def test_pair_moments_in_tiles(spark):
+    """Tiles and passes give what one block gives; nulls and NaN are absent, means may be large."""
+    rnd = np.random.default_rng(3)
+    x = rnd.standard_normal((300, 7)) + 1e7
+    x[:, 3] += 2 * x[:, 1]
+    x[rnd.random(x.shape) < 0.1] = np.nan
+    x[:, 5] = 4.0
+    cols = [f"c{i}" for i in range(7)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) and k % 2 else float(v) for v in r) for k, r in enumerate(x)], ", ".join(f"{c} double" for c in cols))
+    for tile, limit in ((128, 1 << 20), (3, 1 << 20), (2, 1)):
+        got = {(r.i, r.j): r for r in gramian.pair_moments(df.repartition(5), cols, tile, limit).collect()}
+        assert len(got) == 21
+        for (i, j), r in got.items():
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            a, b = x[both, i] - x[both, i].mean(), x[both, j] - x[both, j].mean()
+            assert r.n == both.sum() and r.mean_i == pytest.approx(x[both, i].mean())
+            assert (r.sxx, r.syy, r.sxy) == pytest.approx(((a * a).sum(), (b * b).sum(), (a * b).sum()), rel=1e-6, abs=1e-6)
+    found = {(r.a, r.b): r["corr"] for r in stats.correlation_pairs(df, cols).collect()}
+    assert found["c4", "c5"] is None and found["c1", "c3"] == pytest.approx(np.ma.corrcoef(np.ma.masked_invalid(x[:, 1]), np.ma.masked_invalid(x[:, 3]))[0, 1], abs=1e-6)
+
+
+def test_918_columns(spark):
+    """As many features as the delay model had after encoding."""
+    wide = spark.range(60).select(*[F.rand(seed=i).alias(f"c{i}") for i in range(918)])
+    out = stats.correlation_pairs(wide, wide.columns)
+    assert out.count() == 918 * 917 // 2
+
+
+def test_spread_join_with_a_hot_key(spark, rows):
+    """Half of all rows on one key, broadcasts off: no task has much more than its fair part."""
+    data = [(k, "hot" if k % 2 else f"s{k % 97}" if k % 6 else None) for k in range(8000)]
+    many = spark.createDataFrame(data, "id int, st string").repartition(6)
+    few = spark.createDataFrame([("hot", 1), ("s2", 2), ("s4", 3), ("none", 4)], "key string, x int")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            got = spread_join(many, few, "st", few_keys="key", how=how)
+            want = many.join(few, F.col("st") == F.col("key"), how).drop("key")
+            assert got.columns == want.columns and rows(got) == rows(want)
+        out = spread_join(many.hint("merge"), few.hint("merge"), "st", few_keys="key", how="left")
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert max(sizes) < 8000 / 6 and out.count() == 8000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_ordered_prefix(spark):
     rnd = Random(4)
     data = [(k, rnd.randrange(10), rnd.random()) for k in rnd.sample(range(10_000), 500)]
