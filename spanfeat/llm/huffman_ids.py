@@ -11,6 +11,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from bisect import bisect_right
 from functools import lru_cache
 
 import numpy as np
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from spanfeat.llm.common import release, staged_tight
 from spanfeat.llm.flat_text import binary, flat, parts
 from spanfeat.llm.piece_ids import piece_encoder
+from spanfeat.operators.skew import tasks_of
 from spanfeat.session import checkpoint_root
 
 # Fixed values of the file format.
@@ -185,6 +187,11 @@ def id_counts(tokens: DataFrame) -> DataFrame:
     return tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
+def _rank(doc_id, row) -> tuple:
+    """Place of a row in the order of the files; a null doc_id comes first."""
+    return (doc_id is not None, doc_id or 0, row)
+
+
 class _File:
     """One archive under construction; documents are appended whole."""
 
@@ -218,7 +225,8 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int, roll_by
     """Write the ids of all documents below ``folder``, by ascending doc_id; returns the manifest, read back.
 
     Tokens are staged once, counted, and coded before they are range-sorted by (doc_id, row),
-    so the shuffle carries code bits. A task writes its range to files that roll over at
+    so the shuffle carries code bits; the ranges come from those two columns alone. A task
+    writes its range to files that roll over at
     ``roll_bytes``. File names hold the task's attempt; only files in the manifest, which is
     written last, exist for a reader. Manifest: file, part, seq, docs, ids, bytes.
     """
@@ -231,6 +239,11 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int, roll_by
     counts[found] = counted.column("n").to_numpy()
     packed = pack_lengths(code_lengths(counts))
     header = MAGIC + struct.pack("<II", VERSION, len(packed)) + packed
+    order = ["doc_id", "row"]
+    ranges = tokens.select(*order).repartitionByRange(tasks_of(tokens), *order)
+    first = ranges.groupBy(F.spark_partition_id()).agg(F.min(F.struct(*order)).alias("at"))
+    # one row per range
+    bounds = sorted(_rank(*r["at"]) for r in first.collect())
 
     def code(batches):
         coder = coder_of(packed)
@@ -242,14 +255,20 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int, roll_by
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"), part.column("n"), part.column("row"),
+                        pa.array(
+                            [bisect_right(bounds, _rank(d, r)) - 1 for d, r in zip(*(part.column(c).to_pylist() for c in order))],
+                            pa.int32(),
+                        ),
                         binary(bits.astype("<u2").view(np.uint8), 2 * blocks).cast(pa.binary()),
                         binary(out, offsets).cast(pa.binary()),
                     ],
-                    names=["doc_id", "n", "row", "bits", "body"],
+                    names=["doc_id", "n", "row", "range", "bits", "body"],
                 )
 
-    coded = tokens.select("doc_id", "n", "row", "ids").mapInArrow(code, "doc_id long, n long, row long, bits binary, body binary")
-    ranged = coded.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row")
+    coded = tokens.select("doc_id", "n", "row", "ids").mapInArrow(
+        code, "doc_id long, n long, row long, range int, bits binary, body binary"
+    )
+    ranged = coded.repartitionById(max(1, len(bounds)), F.col("range")).sortWithinPartitions(*order)
 
     def write(batches):
         from pyarrow import fs
