@@ -22,6 +22,18 @@ KNOWN_PIECES, KNOWN_IDS = 600_000, 3_000_000
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LETTER, DIGIT, SPACE, OTHER = range(4)
+# Letters up to here are letters in every version of Unicode that the libraries may follow.
+LAST_LATIN = "\u024f"
+
+
+def _byte_signs() -> dict[int, str]:
+    """Sign of every byte in byte-level vocabularies: printable ones stand for themselves, others count up from 256."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+BYTE_SIGNS = _byte_signs()
 
 
 class Kinds:
@@ -125,6 +137,9 @@ class PieceEncoder:
             self.borders, self.kinds = byte_borders, Kinds(self.tok)
         elif first.get("pattern") == {"Regex": WORD_PATTERN} and first.get("behavior") == "Removed" and first.get("invert"):
             self.borders = word_borders
+        after = (rule.get("pretokenizers") or [{}])[1:]
+        self.signs = len(after) == 1 and after[0].get("type") == "ByteLevel" and not after[0]["add_prefix_space"] and not after[0].get("use_regex")
+        self.normalize = self.tok.normalizer.normalize_str if self.tok.normalizer else None
         # a text that may hold a special token stays one piece
         self.special = sorted({t["content"][:2].encode() for t in made["added_tokens"]})
         self.forget()
@@ -146,13 +161,34 @@ class PieceEncoder:
             first = len(self.known)
             place[absent] = np.arange(first, first + len(new))
             self.known.update(zip(new, range(first, first + len(new))))
-            made = [e.ids for e in self.tok.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)]
+            made = self._encode(new)
             self.sizes = np.append(self.sizes, np.fromiter(map(len, made), np.int64, len(made)))
             flat_ids = np.fromiter(chain.from_iterable(made), np.uint32, int(self.sizes[first:].sum()))
             self.ids = np.append(self.ids, flat_ids)
         ends = np.cumsum(self.sizes)
         return ends[place] - self.sizes[place], self.sizes[place]
 
+    def _unit(self, piece: bytes) -> str | None:
+        """The piece as the vocabulary's merges see it, where it is known to be a single unit."""
+        if self.borders is byte_borders:
+            return None if any(s in piece for s in self.special) else piece.decode("latin-1").translate(BYTE_SIGNS)
+        if self.borders is word_borders:
+            if piece.isalpha():  # ASCII letters
+                return piece.lower().decode()
+            text = piece.decode()
+            if self.signs and text.isalpha() and max(text) <= LAST_LATIN:
+                text = self.normalize(text)
+                return text.encode().decode("latin-1").translate(BYTE_SIGNS) if text.isalpha() else None
+        return None
+
+    def _encode(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each piece: merges alone for single units, the whole path of the library for others."""
+        units = [self._unit(p) for p in pieces]
+        others = [p.decode() for p, u in zip(pieces, units) if u is None]
+        full = iter(self.tok.encode_batch_fast(others, add_special_tokens=False))
+        merge = self.tok.model.tokenize
+        return [next(full).ids if u is None else [t.id for t in merge(u)] for u in units]
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts joined, and the offsets of the texts in them."""
         begins = np.zeros(len(data), bool)
@@ -160,7 +196,8 @@ class PieceEncoder:
             begins = self.borders(data, offsets, self.kinds)
             for start in self.special:
                 at = np.flatnonzero((data[:-1] == start[0]) & (data[1:] == start[-1]))
-                for row in np.unique(np.searchsorted(offsets, at, side="right") - 1):
+                row = np.searchsorted(offsets, at, side="right") - 1
+                for row in np.unique(row[at + 1 < offsets[row + 1]]):
                     begins[offsets[row] : offsets[row + 1]] = False
         begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
         at = np.flatnonzero(begins)
