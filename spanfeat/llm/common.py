@@ -66,3 +66,10 @@ def staged_tight(df: DataFrame, label: str) -> DataFrame:
     path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is not in the one column of ``bad``; null counts as a value."""
+    name = f"bad_{uuid.uuid4().hex[:12]}"
+    gone = bad.toDF(name).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")

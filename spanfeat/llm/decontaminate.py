@@ -7,9 +7,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from spanfeat.llm.common import text_rows
+from spanfeat.llm.common import text_rows, without
 
 _WORD = re.compile(r"\w+")
 MATCH, MISS, GAP = 2, -1, -1
@@ -138,5 +137,4 @@ def leaks(
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """Rows of ``docs`` that hold no benchmark item; see ``leaks``. A null doc_id is kept unless it leaks."""
-    bad = leaks(docs, benchmark, **settings).select("doc_id").distinct().withColumnRenamed("doc_id", "_leak")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    return without(docs, leaks(docs, benchmark, **settings).select("doc_id"))

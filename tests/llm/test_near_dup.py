@@ -1,10 +1,13 @@
 """The pipeline's near-duplicate stage against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from spanfeat.llm import near_dup
+from spanfeat.llm import shingles as sets
+from spanfeat.llm.flat_text import flat
 from spanfeat.llm.simhash_vp import fingerprint
 
 SCHEMA = "doc_id long, text string, lang string"
@@ -59,26 +62,73 @@ def test_ordinary_edits_and_repeated_rows(spark):
     assert [tuple(r) for r in got] == [rows_in[1]]
 
 
-def test_pairs_at_the_bound_share_a_signature():
+def test_sets_against_plain_python():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["a", "B", "é", "cc", "x\ty", " "], rng.integers(0, 30))) for _ in range(300)] + [None, "", "  "]
+    values, offsets = flat(pa.array(texts))
+    h, row = sets.shingle_sets(values, offsets, 5)
+    want = [{s for s in shingles((t or "").lower())} for t in texts]
+    assert np.bincount(row, minlength=len(texts)).tolist() == [len(w) for w in want]
+    everything = {}
+    for k, t in enumerate(texts):  # equal shingles have equal hashes and others have others
+        listed = sorted(want[k])
+        for name, value in zip(listed, sorted(h[row == k].tolist())):
+            everything.setdefault(frozenset(want[k]), set()).add(tuple(sorted(h[row == k].tolist())))
+    assert all(len(v) == 1 for v in everything.values()) and len({v for vs in everything.values() for v in vs}) == len(everything)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, len(texts), (200, 2))]
+    h1, r1 = sets.shingle_sets(*flat(pa.array([texts[a] for a, _ in pairs])), 5)
+    h2, r2 = sets.shingle_sets(*flat(pa.array([texts[b] for _, b in pairs])), 5)
+    assert sets.common_counts(h1, r1, h2, r2, len(pairs)).tolist() == [len(want[a] & want[b]) for a, b in pairs]
+
+
+def test_pairs_at_the_bound_share_a_prefix():
+    """Whatever the order, and within the reach that places and sizes allow."""
     rng = np.random.default_rng(2)
-    for n in list(range(1, 60)) + [100, 333, 1000, 5000]:
+    for n in list(range(1, 60)) + [100, 333, 1000]:
         for _ in range(20):
-            pool = rng.integers(0, 1 << 63, 3 * n + 3, dtype=np.uint64)
+            pool = rng.permutation(3 * n + 3)
             common = -(-4 * n // 5) if rng.random() < 0.5 else n
             a, b = pool[:n], pool[n - common : n - common + n]
             if common == n:
                 b = pool[: n * 5 // 4]
-            inter = len(np.intersect1d(a, b))
-            if 9 * inter >= 4 * (len(a) + len(b)):
-                assert np.intersect1d(near_dup.signatures(np.unique(a)), near_dup.signatures(np.unique(b))).size
+            a, b = np.sort(a).tolist(), np.sort(b).tolist()
+            if 9 * len(set(a) & set(b)) < 4 * (len(a) + len(b)):
+                continue
+            cut = lambda x: x[: len(x) - (4 * len(x) + 4) // 5 + 1]
+            shared = set(cut(a)) & set(cut(b))
+            assert any(9 * min(len(a) - a.index(s), len(b) - b.index(s)) >= 4 * (len(a) + len(b)) for s in shared)
 
 
 def test_a_bucket_may_cross_batches(spark):
-    signed = spark.range(2000).selectExpr("id % 7 AS sig", "id").union(spark.createDataFrame([(99, 5), (100, 6)], "sig long, id long"))
+    cols = "sig long, salt int, id long, place int, size int"
+    rows_in = [(k % 7, -1, k, 0, 9) for k in range(900)] + [(99, -1, 5, 0, 9), (100, -1, 6, 0, 9), (100, -1, 6, 0, 9)]
+    rows_in += [(200, k % 3, k, 0, 9) for k in range(4)]
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
     try:
-        got = near_dup._buckets(signed).collect()
+        got = near_dup.buckets(spark.createDataFrame(rows_in, cols)).collect()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
-    assert sorted(map(tuple, got)) == sorted((k % 7, k, k % 7) for k in range(2000))
+    want = [(k % 7, -1, k, k % 7) for k in range(900)] + [(200, 0, 0, 0), (200, 0, 3, 0), (200, 1, 1, 1), (200, 2, 2, 2)]
+    assert sorted((r["sig"], r["salt"], r["id"], r["first"]) for r in got) == sorted(want)
+
+
+def test_boilerplate_makes_few_candidates(spark):
+    """A thousand texts that share 20 of 26 words are no duplicates; their shared words link nothing."""
+    rng = np.random.default_rng(4)
+    shared = " ".join(f"common{k}" for k in range(20))
+    rows_in = [(k, shared + " " + " ".join(f"w{x}" for x in rng.integers(0, 10**6, 6))) for k in range(1000)]
+    texts = spark.createDataFrame(rows_in, "id long, text string")
+    assert near_dup.buckets(near_dup.prefixes(texts, near_dup.frequencies(texts))).count() < 1000
+    docs = texts.withColumnRenamed("id", "doc_id")
+    assert near_dup.keep_first(docs).count() == 1000
+
+
+def test_heavy_groups_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "HEAVY", 0.001)
+    base = [f"w{k}" for k in range(60)]
+    rows_in = [(k, " ".join([*base, f"z{k}"]), "x", 1, 2) for k in range(40)] + [(99, "another text of no group at all", "x", 1, 2)]
+    docs = spark.createDataFrame(rows_in, "doc_id long, text string, n string, first int, _bad int")
+    assert sorted(r.doc_id for r in near_dup.keep_first(docs).collect()) == [0, 99]
+    assert near_dup.keep_first(docs).columns == docs.columns
+    assert near_dup.keep_first(docs.limit(0)).count() == 0
