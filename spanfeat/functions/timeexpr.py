@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from ..session import require_utc
+
 DAY_US = 86_400_000_000
 HOUR_US = 3_600_000_000
 MINUTE_US = 60_000_000
@@ -80,7 +82,13 @@ def roll_after(start: Column, end: Column) -> Column:
 
 
 def to_utc(ts: Column, zone: Column | str) -> Column:
-    """Local wall-clock time to UTC by a per-row zone name; DST gaps follow Java's rules."""
+    """Local wall-clock time to UTC by a per-row zone name; DST gaps follow Java's rules.
+
+    The active session's zone must be UTC, in which the wall clock is read.
+    """
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        require_utc(session)
     zone = F.lit(zone) if isinstance(zone, str) else zone
     return F.to_utc_timestamp(ts.cast("timestamp"), zone).cast("timestamp_ntz")
 

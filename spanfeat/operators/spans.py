@@ -25,9 +25,6 @@ from ..functions.checks import as_list, require_columns
 from ..functions.timeexpr import DAY_US, from_micros, instant, micros, span_us
 from ..session import require_utc
 
-# Calendar ranges up to this count are tested inside one expression.
-INLINE_RANGES = 64
-
 
 def _chunk(at: Column, width: int) -> Column:
     """Start of the chunk that holds an instant; chunks are named by their start."""
@@ -86,11 +83,16 @@ def _scan(
 
 
 def _join_back(df: DataFrame, names: Sequence[str], at: Column, answers: DataFrame) -> DataFrame:
-    """Append ``_found`` to every row by its keys and instant; rows without an answer get null."""
-    same = at == F.col("_at")
+    """Append ``_found`` to every row by its keys and instant; rows without an answer get null.
+
+    Rows without an instant match nothing; a hash of their content deals them over tasks.
+    """
+    nowhere = F.when(at.isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) + 1).otherwise(F.lit(0))
+    answers = answers.withColumn("_here", F.lit(0).cast("long"))
+    same = (at == F.col("_at")) & (nowhere == F.col("_here"))
     for key, name in zip(_named(names), names, strict=True):
         same = same & (F.col(name) == F.col(key))
-    return df.join(answers, same, "left")
+    return df.join(answers, same, "left").drop("_here")
 
 
 def _latest(
@@ -366,19 +368,13 @@ def range_flag(
     begin: str = "begin",
     end: str = "end",
     chunk: timedelta = timedelta(hours=1),
-    inline: int = INLINE_RANGES,
 ) -> DataFrame:
     """1 when the instant lies in any closed range, else 0; never multiplies rows.
 
-    A list, or a frame with few ranges (a measured count), becomes a plain expression
-    without a shuffle. A longer frame is cut at chunk borders and scanned together with
-    the distinct instants of the chunk.
+    A list, which the caller wrote out, becomes a plain expression without a shuffle. A
+    frame of any length is cut at chunk borders and scanned together with the distinct
+    instants of the chunk.
     """
-    if isinstance(ranges, DataFrame):
-        few = ranges.select(begin, end).dropna().filter(F.col(begin) <= F.col(end)).limit(inline + 1)
-        head = few.collect()
-        if len(head) <= inline:
-            ranges = [tuple(r) for r in head]
     if not isinstance(ranges, DataFrame):
         kind = df.schema[ts].dataType
         tests = [

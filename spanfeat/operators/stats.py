@@ -12,6 +12,7 @@ from ..functions.checks import as_list, require_columns
 from ..session import settle
 from . import gramian
 from .joins import with_one_row
+from .skew import spread_join
 
 
 def group_stats(
@@ -81,7 +82,7 @@ def group_mean_diff(
 ) -> DataFrame:
     """Difference from the group's mean, the mean taken on ``train`` (default: all rows).
 
-    The means are pre-aggregated and joined, so a busy group is not gathered in one task.
+    The means are pre-aggregated and joined; rows of a busy group are dealt over several tasks.
     Rows of groups unseen in training get null.
     """
     source = df if train is None else train
@@ -90,8 +91,8 @@ def group_mean_diff(
             F.avg(col).alias("_mean")
         )
     )
-    on = [F.col(k) == F.col(f"_g{i}") for i, k in enumerate(keys)]
-    return df.join(means, on, "left").select(*df.columns, (F.col(col) - F.col("_mean")).alias(out))
+    joined = spread_join(df, means, keys, few_keys=[f"_g{i}" for i in range(len(keys))], how="left")
+    return joined.select(*df.columns, (F.col(col) - F.col("_mean")).alias(out))
 
 
 def standardize(

@@ -16,6 +16,8 @@ from ..functions import bins, packed, timeexpr
 from ..functions.geoexpr import eastward_flag
 from ..operators import impute, joins, spans, stats
 from ..operators.impute import ImputationModel, Measure
+from ..operators.quality import exclude_flagged
+from ..operators.skew import spread_join
 from ..operators.splits import slice_between, temporal_split
 from ..session import staged
 
@@ -210,7 +212,7 @@ def flight_features(
             F.col("day").alias(f"_{role}_DAY"),
             F.col("_flights").alias(f"{role}_FLIGHT_COUNT"),
         )
-        out = out.join(side, [role, f"_{role}_DAY"], "left")
+        out = spread_join(out, side, [role, f"_{role}_DAY"], how="left")
     out = out.drop("_ORIGIN_DAY", "_DEST_DAY")
 
     late = F.col("DEP_DEL15") == 1
@@ -264,12 +266,13 @@ def feature_table(
     cuts: Sequence[datetime],
     smooth_held_out: bool = False,
 ) -> DataFrame:
-    """All flights with features, a ``split`` column and no missing weather.
+    """All flights that took place, with features, a ``split`` column and no missing weather.
 
     Training flights see smoothed weather, held-out flights unsmoothed weather unless
     ``smooth_held_out`` is set. Everything fitted is fitted on flights before the
     first cut. Tables used more than once are staged in the shared folder.
     """
+    flights = exclude_flagged(flights, [c for c in ("CANCELLED", "DIVERTED") if c in flights.columns])
     imputed = staged(weather_imputed, "weather_imputed")
     smoothed = staged(smooth_weather(imputed, bridge), "weather_metrics")
     featured = flight_features(attach_stations(flights, airport_meta), hubs, holidays, cuts[0])

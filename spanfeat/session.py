@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 # Zone ids that all mean UTC.
 UTC_ZONES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00", "Etc/GMT", "Universal", "Etc/Universal", "Zulu"}
 
-# A summary with at most this many rows may travel through the driver and be broadcast.
-SMALL_ROWS = 50_000
-
 
 def build_session(app: str = "spanfeat", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators rely on; the cluster's own settings stay in force."""
@@ -119,14 +116,11 @@ def _clear_at_exit(spark: SparkSession) -> None:
         _held.clear()
 
 
-def settle(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Run a summary once and return it in the form that suits its measured size.
+def settle(df: DataFrame) -> DataFrame:
+    """Run a summary once and return it as a staged table, so that its measured size decides.
 
-    At most ``max_rows`` rows: a local table with a broadcast hint. More: a staged
-    table without a hint, joined by shuffle (or broadcast only if its file size is
-    below the session's own threshold).
+    The planner broadcasts it only if its files are below the session's own threshold. An
+    empty summary comes back as an empty relation, for which joins are planned away.
     """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows:
-        return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
-    return staged(df, "summary")
+    kept = staged(df, "summary")
+    return kept.limit(0) if kept.isEmpty() else kept

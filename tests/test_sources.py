@@ -64,13 +64,19 @@ def test_report_files(spark, tmp_path, rows):
     assert rows(readers.load_csv(spark, str(tmp_path / "imp"), "feature string, importance double")) == [("x", 0.75)]
 
 
-def test_settle_small_and_large(spark):
-    small = session.settle(spark.range(10).withColumn("x", F.col("id") * 2), max_rows=10)
-    assert small.agg(F.sum("x")).first()[0] == 90
-    assert "BroadcastHashJoin" in spark.range(10**9).join(small, "id")._jdf.queryExecution().executedPlan().toString()
-    large = session.settle(spark.range(11), max_rows=10)
-    assert large.count() == 11 and "parquet" in large._jdf.queryExecution().executedPlan().toString().lower()
-    assert session.settle(spark.range(0)).count() == 0
+def test_settle_runs_a_summary_once(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            runs.add(1)
+            yield batch
+
+    kept = session.settle(spark.range(0, 10, 1, 1).mapInArrow(count, "id long").withColumn("x", F.col("id") * 2))
+    assert kept.agg(F.sum("x")).first()[0] == 90 and kept.count() == 10 and runs.value == 1
+    assert "BroadcastHashJoin" in spark.range(10**9).join(kept, "id")._jdf.queryExecution().executedPlan().toString()
+    empty = session.settle(spark.range(0))
+    assert empty.count() == 0 and "LocalTableScan" in empty._jdf.queryExecution().executedPlan().toString()
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):
