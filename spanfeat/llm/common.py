@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanfeat.session import checkpoint_root
+from spanfeat.session import scratch
 
 
 def text_rows(df: DataFrame, fn: Callable[..., Iterator[tuple]], cols: list[str], schema: str) -> DataFrame:
@@ -63,7 +63,7 @@ def release(*frames: DataFrame) -> None:
 
 def staged_tight(df: DataFrame, label: str) -> DataFrame:
     """Like ``staged``, with Zstandard: for wide binary columns that are read back once or twice."""
-    path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -73,3 +73,16 @@ def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
     name = f"bad_{uuid.uuid4().hex[:12]}"
     gone = bad.toDF(name).distinct()
     return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
+
+
+def shielded(docs: DataFrame, own: list[str], made: list[str], fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``fn(docs)`` with all columns but ``own`` under generated names, so that none can clash.
+
+    ``made`` are the columns that ``fn`` adds at the end; columns of ``docs`` with such names
+    are replaced by them.
+    """
+    tag = uuid.uuid4().hex[:12]
+    others = [c for c in docs.columns if c not in own and c not in made]
+    names = {c: f"x{i}_{tag}" for i, c in enumerate(others)}
+    out = fn(docs.drop(*[c for c in made if c in docs.columns and c not in own]).withColumnsRenamed(names))
+    return out.withColumnsRenamed({name: c for c, name in names.items()})

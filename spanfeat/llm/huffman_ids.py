@@ -9,7 +9,6 @@ table look-up per step gives the id and the length of the next code of every blo
 from __future__ import annotations
 
 import struct
-import uuid
 import zlib
 from bisect import bisect_right
 from functools import lru_cache
@@ -23,7 +22,7 @@ from spanfeat.llm.common import release, staged_tight
 from spanfeat.llm.flat_text import binary, flat, parts
 from spanfeat.llm.piece_ids import piece_encoder
 from spanfeat.operators.skew import tasks_of
-from spanfeat.session import checkpoint_root
+from spanfeat.session import scratch
 
 # Fixed values of the file format.
 MAGIC, VERSION = b"IDHF", 1
@@ -391,6 +390,6 @@ def id_archive_round_trip(docs: DataFrame, tokenizer: str, end_id: int = 2) -> D
     order of the input; a null doc_id comes first. Extra columns are ignored; an empty table
     gives no rows. A text is coded whole, whatever its length.
     """
-    folder = f"{checkpoint_root(docs.sparkSession).rstrip('/')}/ids-{uuid.uuid4().hex}"
+    folder = scratch(docs.sparkSession, "ids")
     back = read_ids(write_ids(docs, tokenizer, folder, end_id), folder)
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -35,15 +35,9 @@ NOTICES = {
 TAG = "spdx license identifier"
 
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
-_EXPR = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.IGNORECASE)
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+:-]*")
 
 
-def words_of(text: str) -> list[bytes]:
-    """Words of the text with A-Z lower-cased, as UTF-8."""
-    return _WORDS.findall(text.encode().lower())
-
-
 @lru_cache(maxsize=1)
 def _automaton():
     machine = ahocorasick.Automaton()
@@ -59,20 +53,22 @@ def to_postfix(expression: str) -> list[str] | None:
     Reads as far as the text is a valid expression; None if it does not begin with one.
     """
     rank = {"OR": 1, "AND": 2, "WITH": 3}
-    out, ops, want = [], [], True
-    best = None
+    out, ops, want, depth = [], [], True, 0
+    best = None  # length of the output and operators left where the text was last complete
     for token in _TOKEN.findall(expression):
         op = token.upper()
         if token == "(":
             if not want:
                 break
             ops.append(token)
+            depth += 1
         elif token == ")":
-            if want or "(" not in ops:
+            if want or not depth:
                 break
             while ops[-1] != "(":
                 out.append(ops.pop())
             ops.pop()
+            depth -= 1
         elif op in rank:
             if want:
                 break
@@ -86,40 +82,76 @@ def to_postfix(expression: str) -> list[str] | None:
                 break
             out.append(token)
             want = False
-        if not want and "(" not in ops:
-            best = out + ops[::-1]
-    return best
+        if not want and not depth:
+            best = (len(out), ops[::-1])  # three operators at most
+    return None if best is None else out[: best[0]] + best[1]
+
+
+class _Part:
+    """Evaluated part of an expression: its kind, its operands as texts, and the ids in it."""
+
+    __slots__ = ("kind", "operands", "ids")
+
+    def __init__(self, kind: str, operands: set[str], ids: set[str]):
+        self.kind, self.operands, self.ids = kind, operands, ids
+
+    def text(self, outer: str | None = None) -> str:
+        made = (" | " if self.kind == "OR" else " & ").join(sorted(self.operands))
+        return f"({made})" if outer not in (None, self.kind) and len(self.operands) > 1 else made
 
 
-def alternatives(postfix: list[str], limit: int = 4096) -> set[frozenset[str]]:
-    """Sets of ids of which one must be satisfied whole: OR gives a choice, AND joins.
+def evaluate(postfix: list[str]) -> tuple[str, set[str]]:
+    """Normal text of an expression, and its ids.
 
-    WITH keeps the licence and its exception as one id. An expression with more than
-    ``limit`` choices gives the single set of all its ids.
+    AND (``&``) and OR (``|``) are flattened, their operands sorted and made distinct, in
+    lower case; nothing is multiplied out, so the text is no longer than the expression.
+    WITH keeps a licence and its exception as one id.
     """
-    stack: list[set[frozenset[str]]] = []
+    stack: list[_Part] = []
     for token in postfix:
-        if token in ("AND", "OR", "WITH"):
+        if token in ("AND", "OR"):
             b, a = stack.pop(), stack.pop()
-            if token == "OR":
-                made = a | b
-            elif token == "AND":
-                if len(a) * len(b) > limit:
-                    return {frozenset(t.lower() for t in postfix if t not in ("AND", "OR", "WITH"))}
-                made = {x | y for x in a for y in b}
-            else:
-                made = {frozenset(f"{i}-with-{j}" for i in x for j in y) for x in a for y in b}
-            stack.append(made)
+            sides = []
+            for part in (a, b):
+                if part.kind == token or len(part.operands) == 1:
+                    sides.append(part.operands)
+                else:
+                    sides.append({part.text(token)})
+            big, small = sorted(sides, key=len, reverse=True)
+            big |= small
+            ids, more = (a.ids, b.ids) if len(a.ids) >= len(b.ids) else (b.ids, a.ids)
+            ids |= more
+            stack.append(_Part(token, big, ids))
+        elif token == "WITH":
+            b, a = stack.pop(), stack.pop()
+            exception = b.text("WITH")
+            ids = {f"{i}-with-{exception}" for i in a.ids}
+            whole = f"{a.text('WITH')}-with-{exception}"
+            stack.append(_Part("WITH", {whole}, ids))
         else:
-            stack.append({frozenset([token.lower()])})
-    return stack[-1]
+            name = token.lower()
+            stack.append(_Part("ID", {name}, {name}))
+    return stack[-1].text(), stack[-1].ids
+
+
+def _after_tags(data: bytes, last_words: list[int]) -> list[str]:
+    """What follows each identifier tag on its line; a tag is known by the number of its last word.
+
+    A colon, an equals sign, blanks and quotes may stand between tag and expression.
+    """
+    wanted, out = set(last_words), []
+    for k, m in enumerate(_WORDS.finditer(data.lower())):
+        if k in wanted:
+            line = re.split(rb"[\r\n]", data[m.end() :], maxsplit=1)[0]
+            out.append(line.decode("utf-8", "replace").lstrip(" \t:=\"'"))
+    return out
 
 
 def scan(text: str | None) -> dict:
     """All places of phrases and tags in one text."""
-    text = text or ""
-    words = words_of(text)
-    base_at, base, labels, others = [], set(), set(), 0
+    data = (text or "").encode()
+    words = _WORDS.findall(data.lower())
+    base_at, base, labels, others, tags = [], set(), set(), 0, []
     if words:
         line = (b" " + b" ".join(words) + b" ").decode("utf-8")
         starts = None
@@ -133,13 +165,15 @@ def scan(text: str | None) -> dict:
             elif phrase in NOTICES:
                 others += 1
                 labels.add(NOTICES[phrase])
+            else:
+                tags.append(at + TAG.count(" "))
     choices = []
-    for m in _EXPR.finditer(text):
-        postfix = to_postfix(m.group(1))
+    for follows in _after_tags(data, tags) if tags else ():
+        postfix = to_postfix(follows)
         if postfix:
-            sets = alternatives(postfix)
-            choices.append(" | ".join(sorted(" & ".join(sorted(s)) for s in sets)))
-            labels |= {i for s in sets for i in s}
+            normal, ids = evaluate(postfix)
+            choices.append(normal)
+            labels |= ids
     return {
         "n_words": len(words), "n_base": len(base_at),
         "first": min(base_at, default=None), "last": max(base_at, default=None),
@@ -152,7 +186,8 @@ def license_scan(docs: DataFrame) -> DataFrame:
     """Licence evidence per document.
 
     Base places are runs of consecutive words equal to a base phrase; ``labels`` adds other
-    notices and the ids of every identifier tag, whose expression ``choices`` spells out.
+    notices and the ids of every identifier tag, whose expression ``choices`` gives in normal
+    form. Tags are found by the automaton as well; the expression is read from there.
     ``score`` is 1 - 0.5 ** evidence (a tag counts twice). Null text counts as empty: no
     words, null places, empty labels, score 0. Rows repeat as given; extra columns are ignored.
     """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanfeat.llm.common import row_key
+from spanfeat.llm.common import row_key, shielded
 from spanfeat.session import staged
 
 
@@ -18,9 +18,13 @@ def line_dedup(docs: DataFrame, width: int = 3) -> DataFrame:
     ``docs`` with ``text`` replaced (null stays null; ``n_chars``, where present, follows)
     plus ``lines_removed`` (long). Texts with fewer lines stay whole. Rows equal in doc_id
     and text share one place, so none of them is the later copy of another; between rows of
-    one doc_id the text's hash decides.
-    A column named like a helper column (prefix ``_ld_``) is not allowed.
+    one doc_id the text's hash decides. Other columns stay, whatever their names; one named
+    ``lines_removed`` is replaced. An empty table gives no rows.
     """
+    return shielded(docs, ["doc_id", "text", "n_chars"], ["lines_removed"], lambda d: _line_dedup(d, width))
+
+
+def _line_dedup(docs: DataFrame, width: int) -> DataFrame:
     base = docs.withColumn("_ld_key", row_key("doc_id", "text"))
     cuts = base.select("doc_id", "_ld_key", F.split("text", "\n", -1).alias("lines")).filter(F.size("lines") >= width)
     window = lambda i: F.array_join(F.slice("lines", i, width), "\n")

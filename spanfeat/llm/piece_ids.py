@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 # Pieces whose ids a worker remembers, and ids it remembers for them; then it starts anew.
-KNOWN_PIECES, KNOWN_IDS = 600_000, 3_000_000
+KNOWN_PIECES, KNOWN_IDS = 250_000, 1_500_000
 # Patterns of the two kinds of vocabulary.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanfeat.llm.common import shielded
+
 # Formats recognised.
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IPV4 = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])){3}"
@@ -250,8 +252,15 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     and country code, social security numbers their layout, e-mail addresses their host and
     punctuation. Case of e-mail names is not kept. Everything else stays byte for byte.
     Returns all columns with ``text`` replaced plus ``n_replaced`` (long) and ``kinds``
-    (distinct, sorted, comma-joined; empty if none). Null text stays null with 0.
+    (distinct, sorted, comma-joined; empty if none). Null text stays null with 0. Rows
+    repeat as given, equal values always get equal pseudonyms; other columns stay, whatever
+    their names, but those named like the two new ones are replaced; an empty table gives no
+    rows.
     """
+    return shielded(docs, ["text"], ["n_replaced", "kinds"], lambda d: _pseudonymize(d, key))
+
+
+def _pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     found = F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))
     out = docs.withColumn("_ps_found", F.when(F.col("text").rlike("[0-9@]"), F.transform(found, pieces_of)))
     between = F.split("text", PATTERN, -1)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanfeat.llm.common import text_rows
-from spanfeat.session import checkpoint_root, staged
+from spanfeat.session import scratch, staged
 
 DATE = "2000-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -59,7 +59,8 @@ def write_archives(pages: DataFrame, folder: str, roll_bytes: int = 64 << 20, mi
     """Write ``pages`` (page_id, url, html) below ``folder``; returns the manifest, read back.
 
     Payloads of at least ``min_revisit`` bytes that repeat become revisits of the record with
-    the smallest page_id. Records are range-sorted by (page_id, digest, url), each range rolls
+    the smallest page_id, and so do further rows of that page with the same payload. Records
+    are range-sorted by (page_id, digest, url), each range rolls
     over to a new file once the compressed size passes ``roll_bytes``; a file is written under
     a temporary name, with the attempt in it, and renamed when whole, so a repeated task puts
     the same bytes under the same name. The manifest, written last, is the commit: files not
@@ -73,7 +74,8 @@ def write_archives(pages: DataFrame, folder: str, roll_bytes: int = 64 << 20, mi
     roles = base.select("page_id", "url", "digest", "size").join(firsts, "digest").filter("page_id > first")
     roles = staged(roles.groupBy("page_id", "digest").agg(F.min("first").alias("first")), "revisits")
     known = base.join(roles, ["page_id", "digest"], "left")
-    ranged = known.repartitionByRange("page_id", "digest", "url").sortWithinPartitions("page_id", "digest", "url")
+    # rows of one page and payload stay together: the first of them is the response
+    ranged = known.repartitionByRange("page_id", "digest").sortWithinPartitions("page_id", "digest", "url")
 
     def write(batches):
         import pandas as pd
@@ -82,7 +84,7 @@ def write_archives(pages: DataFrame, folder: str, roll_bytes: int = 64 << 20, mi
 
         store, root = fs.FileSystem.from_uri(folder)
         task = TaskContext.get()
-        files, sink = [], None
+        files, sink, before = [], None, None
 
         def close():
             nonlocal sink
@@ -97,6 +99,9 @@ def write_archives(pages: DataFrame, folder: str, roll_bytes: int = 64 << 20, mi
                     name = f"part-{task.partitionId():06d}-{len(files):05d}.warc.gz"
                     files.append({"file": name, "records": 0, "bytes": 0, "sha256": hashlib.sha256()})
                     sink = store.open_output_stream(f"{root}/{name}.{task.taskAttemptId()}.tmp", compression=None)
+                if first is None and page_id is not None and (page_id, digest) == before and size >= min_revisit:
+                    first = page_id
+                before = (page_id, digest)
                 kind = "response" if first is None else "revisit"
                 ids = [None if x is None else int(x) for x in (page_id, first)]
                 member = _member(record(kind, ids[0], url, digest, int(size), ids[1], bytes(payload)))
@@ -155,7 +160,8 @@ def read_archives(manifest: DataFrame, folder: str, chunk: int = 1 << 20) -> Dat
         if seen != records:
             raise ValueError(f"{file} has {seen} records, the manifest {records}")
 
-    files = manifest.select("file", "records").repartition("file")
+    # one task per file, by an explicit number that is not merged for the rows' small size
+    files = manifest.select("file", "records").repartitionByRange(max(1, manifest.count()), "file")
     return text_rows(
         files, read, ["file", "records"],
         "page_id long, url string, payload_bytes long, payload_digest string, record_type string,"
@@ -166,9 +172,9 @@ def read_archives(manifest: DataFrame, folder: str, chunk: int = 1 << 20) -> Dat
 def archive_round_trip(pages: DataFrame) -> DataFrame:
     """Write ``pages`` to the shared folder and read the archives back.
 
-    One row per page. Null html is an empty payload, null url an empty address. Pages of one
-    page_id and payload share a role. A null page_id is always a response and refers to
-    nothing. Extra columns are ignored; an empty table gives no rows.
+    One row per page. Null html is an empty payload, null url an empty address. Of several
+    rows of one page_id and payload of at least 100 bytes one is a response at most. A null
+    page_id is always a response and refers to nothing. Extra columns are ignored; an empty table gives no rows.
     """
-    folder = f"{checkpoint_root(pages.sparkSession).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    folder = scratch(pages.sparkSession, "warc")
     return read_archives(write_archives(pages, folder), folder)

@@ -154,6 +154,23 @@ def test_pseudonyms(spark, rows):
     assert out[3]["text"] is None and out[4]["text"] == "" and out[5]["text"] == "none" and out[3]["n_replaced"] == 0
 
 
+def test_clashing_names_stay(spark):
+    """Columns named like helpers or results: kept, or replaced, and never in clear text."""
+    names = "doc_id long, text string, _ps_found string, kinds string, n_replaced int, _ld_key int, _ld_at int, lines_removed int, marks int, lines int"
+    row = (1, "10.0.0.1 a\nb\nc\n10.0.0.1 a\nb\nc", "mine", "k", 7, 8, 9, 10, 11, 12)
+    df = spark.createDataFrame([row, row], names)
+    out = pseudonyms.pseudonymize(df, "key")
+    assert sorted(out.columns) == sorted(df.columns)
+    for r in out.collect():
+        assert r["_ps_found"] == "mine" and r["kinds"] == "ipv4" and r["n_replaced"] == 2 and r["_ld_key"] == 8
+        assert not any("10.0.0.1" in str(v) for v in r)
+    lined = line_dedup(df)
+    assert sorted(lined.columns) == sorted(df.columns)
+    for r in lined.collect():
+        assert (r["text"], r["lines_removed"], r["_ld_key"], r["kinds"], r["lines"]) == ("10.0.0.1 a\nb\nc", 3, 8, "k", 12)
+    assert pseudonyms.pseudonymize(df.limit(0), "key").count() == line_dedup(df.limit(0)).count() == 0
+
+
 def test_feistel_is_a_permutation(spark):
     from pyspark.sql import functions as F
 
@@ -238,7 +255,42 @@ def test_licenses(spark, empty, rows):
 def test_shunting_yard():
     assert licenses.to_postfix("A OR B AND C WITH D") == ["A", "B", "C", "D", "WITH", "AND", "OR"]
     assert licenses.to_postfix("A and some prose") is not None and licenses.to_postfix("OR A") is None
-    assert licenses.alternatives(licenses.to_postfix("(A OR B) AND C")) == {frozenset("ac"), frozenset("bc")}
+    assert licenses.evaluate(licenses.to_postfix("(B OR A) AND C AND (A OR B)")) == ("(a | b) & c", set("abc"))
+    assert licenses.evaluate(licenses.to_postfix("C OR A OR (B OR A)")) == ("a | b | c", set("abc"))
+    assert licenses.evaluate(licenses.to_postfix("(A OR B) WITH X AND C")) == ("(a | b)-with-x & c", {"a-with-x", "b-with-x", "c"})
+    many = " AND ".join(f"(A{k} OR B{k} WITH E{k})" for k in range(300))
+    text, ids = licenses.evaluate(licenses.to_postfix(many))
+    assert len(text) < len(many) * 1.2 and len(ids) == 600 and "b7-with-e7" in ids
+    deep = "(" * 3000 + "A" + ")" * 3000 + " OR B"
+    assert licenses.evaluate(licenses.to_postfix(deep)) == ("a | b", {"a", "b"})
+
+
+def brute_licenses(text):
+    """Base columns by comparing words at every place."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    hits = [(k, label) for k in range(len(w)) for phrase, label in licenses.BASE.items() if w[k : k + len(phrase.split())] == phrase.split()]
+    places = [k for k, _ in hits]
+    return len(w), len(hits), min(places, default=None), max(places, default=None), ",".join(sorted({v for _, v in hits}))
+
+
+def test_licenses_against_brute_force(spark):
+    rng = np.random.default_rng(6)
+    vocab = ["gnu", "General", "PUBLIC", "license", "apache", "cc", "by", "mit", "é", "x", "-", "\n", "."]
+    texts = [" ".join(rng.choice(vocab, rng.integers(0, 40))) for _ in range(300)] + [None, "", "mit license " * 100_000]
+    rows_in = [(k, t, "clash") for k, t in enumerate(texts)] + [(3, texts[3], "clash")]
+    df = spark.createDataFrame(rows_in, "doc_id long, text string, labels string")
+    got = licenses.license_scan(df).collect()
+    assert len(got) == len(rows_in)
+    for r in got:
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == brute_licenses(texts[r["doc_id"]])
+
+
+def test_tags_with_other_separators():
+    for text in ("SPDX-License-Identifier : MIT", "spdx license identifier = \"MIT\"", "SPDX-License-Identifier: MIT\nnot this", "// SPDX-License-Identifier:MIT"):
+        assert licenses.scan(text)["choices"] == ["mit"] and licenses.scan(text)["labels"] == {"mit"}
+    assert licenses.scan("SPDX-License-Identifier:")["choices"] == []
+    both = licenses.scan("é SPDX-License-Identifier: A\r\nspdx-license-identifier: B OR C")
+    assert both["choices"] == ["a", "b | c"] and both["evidence"] == 4
 
 
 def test_leaks(spark, empty, rows):
@@ -276,6 +328,17 @@ def test_toxicity(spark, empty):
     assert toxicity.toxicity(empty, labels).count() == 0
 
 
+def test_calibration_settles_on_parted_classes():
+    """Nearly separable and skewed rows, on which plain Newton steps run away."""
+    rng = np.random.default_rng(0)
+    y = (np.arange(4000) % 10 == 0).astype(int)
+    hit = y * rng.random(4000) * 0.5 + (rng.random(4000) < 0.01) * 0.01
+    x = np.column_stack([hit, np.sqrt(hit), hit * 5])
+    mean, scale, b = toxicity._logistic(x, y)
+    p = 1 / (1 + np.exp(-(b[0] + ((x - mean[1:]) / scale[1:]) @ b[1:])))
+    assert np.abs(b).max() < 100 and ((p > 0.7) == y).mean() > 0.97 and p[hit == 0].max() < 0.3
+
+
 def test_packing(docs, empty, rows_in):
     from tokenizers import Tokenizer
 
@@ -317,6 +380,10 @@ def test_warc(spark, rows, tmp_path):
         revisit = html == page and pid not in (1, None)
         want.append((pid, len(b), hashlib.sha256(b).hexdigest(), "revisit" if revisit else "response", 1 if revisit else None))
     assert sorted(got, key=repr) == sorted(want, key=repr)
+    twice = spark.createDataFrame([(1, "b", page), (1, "a", page), (1, "a", page), (2, "a", page), (7, "s", "short"), (7, "s", "short")], "page_id long, url string, html string")
+    kinds = sorted(str((r["page_id"], r["record_type"], r["refers_to"])) for r in warc.archive_round_trip(twice).collect())
+    roles = [(1, "response", None), (1, "revisit", 1), (1, "revisit", 1), (2, "revisit", 1), (7, "response", None), (7, "response", None)]
+    assert kinds == sorted(map(str, roles))
     folder = f"{tmp_path}/archive"
     manifest = warc.write_archives(pages, folder, roll_bytes=200)
     assert manifest.count() > 4 and not list(tmp_path.glob("archive/*.tmp"))
