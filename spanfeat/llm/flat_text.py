@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text that are worked on at once; a longer text is a part of its own.
-PART_BYTES = 4 << 20
+PART_BYTES = 2 << 20
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
