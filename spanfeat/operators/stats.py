@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.checks import as_list, require_columns
+from ..functions.checks import as_list
 from ..session import settle
 from . import gramian
 from .joins import with_one_row

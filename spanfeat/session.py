@@ -8,7 +8,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Zone ids that all mean UTC.
 UTC_ZONES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00", "Etc/GMT", "Universal", "Etc/Universal", "Zulu"}
