@@ -4,6 +4,7 @@ from random import Random
 import pytest
 from pyspark.sql import functions as F
 
+from spanfeat import plans
 from spanfeat.operators import geo, impute
 from spanfeat.operators.impute import ImputationModel, Measure
 
@@ -156,3 +157,39 @@ def test_places_give_the_same_fill_as_sensors(spark):
     assert places.count() == 3
     by_place = filled(df.join(at.select("st", "place"), "st"), places, "place")
     assert by_place == pytest.approx(filled(df, points, "st"))
+
+
+@pytest.mark.parametrize("cell_rows", [3, 2000])
+def test_surroundings_equal_the_neighbour_list(spark, rows, monkeypatch, cell_rows):
+    monkeypatch.setattr(geo.met_within, "__defaults__", (cell_rows, geo.MET_WIDTH))
+    rnd = Random(3)
+    spots = [(i, 40 + rnd.uniform(-1, 1), -100 + rnd.uniform(-1, 1)) for i in range(30)]
+    spots += [(30 + i, rnd.uniform(-1, 1), rnd.choice([-1, 1]) * 179.9) for i in range(5)]
+    spots += [(35 + i, 89.9, rnd.uniform(-180, 180)) for i in range(4)] + [(39, 89.9, None), (40, None, None), (41, float("nan"), 3.0)]
+    stations = spark.createDataFrame(spots, "station_id int, lat double, lon double")
+    # station 99 is not listed; an unknown instant has no neighbours
+    data = [
+        (k, rnd.choice([*range(42), 99]), rnd.choice([T, T + timedelta(hours=1), None]),
+         rnd.choice([None, float(rnd.randrange(90))]), rnd.choice(["1", "2"]))
+        for k in range(400)
+    ]
+    df = spark.createDataFrame(data, SCHEMA.replace("st string", "st int"))
+    clean = stations.withColumn("lat", F.when(~F.isnan("lat"), F.col("lat")))
+    bridge = geo.radius_neighbors(clean, "station_id", "lat", "lon", 40.0)
+    places = impute.Surroundings(stations, 40.0)
+    fills = [impute.impute_neighbors(df, b, "st", "ts", [Measure("v", "q")], ["id", "st", "ts"]) for b in (bridge, places)]
+    assert rows(fills[0], "id", "v") == rows(fills[1], "id", "v")
+    spec = {"v": {"avg": "av", "min": "lo"}}
+    stats = [impute.neighborhood_stats(df, b, "st", "ts", spec, ["id"]) for b in (bridge, places)]
+    assert rows(stats[0], "id", "av", "lo") == rows(stats[1], "id", "av", "lo")
+
+
+@pytest.mark.parametrize("name", ["impute_neighbors", "neighborhood_stats", "impute_three_phase"])
+def test_no_list_of_station_pairs_is_made(spark, monkeypatch, name):
+    """Its pairs grow with the square of the stations."""
+
+    def refuse(*_):
+        raise AssertionError("pairs of stations were listed")
+
+    monkeypatch.setattr(geo, "radius_neighbors", refuse)
+    assert plans.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
