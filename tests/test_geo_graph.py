@@ -278,3 +278,21 @@ def test_edge_weights(spark, rows):
     trips = [("ABE", "ATL")] * 3 + [("ABE", "CLT"), ("ATL", "ABE")]
     df = spark.createDataFrame(trips, "o string, d string")
     assert rows(graph.edge_weights(df, "o", "d", "count")) == [("ABE", "ATL", 3), ("ABE", "CLT", 1), ("ATL", "ABE", 1)]
+
+
+def test_neighbour_lists_shuffle_points_only(spark):
+    """No side of the search goes through the driver, and pairs are ranked where they are made."""
+    points = spark.range(500).select("id", (F.col("id") / 300).alias("lat"), (F.col("id") / 200).alias("lon"))
+    plan = geo.radius_neighbors(points, "id", "lat", "lon", 50.0)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [_band" not in plan and "SortMergeJoin [_band" in plan
+    search = plan[plan.index("Window") : plan.index("SortMergeJoin")]
+    assert "Exchange" not in search
+
+
+def test_neighbour_lists_of_split_cells(spark, rows, monkeypatch):
+    pts = [(i, 40 + (i % 20) * 1e-3, -100.0) for i in range(60)] + [(60, None, 1.0), (None, 40.0, -100.0)]
+    whole = rows(neighbours(spark, pts, 0.5))
+    monkeypatch.setattr(geo, "CELL_ROWS", 7)
+    monkeypatch.setattr(geo, "PAIR_ROWS", 100)
+    assert rows(neighbours(spark, pts, 0.5)) == whole
+    assert {(a, b) for a, b, *_ in whole} == brute([p for p in pts if None not in p], 0.5) | {(60, 60), (None, None)}
