@@ -296,3 +296,29 @@ def test_neighbour_lists_of_split_cells(spark, rows, monkeypatch):
     monkeypatch.setattr(geo, "PAIR_ROWS", 100)
     assert rows(neighbours(spark, pts, 0.5)) == whole
     assert {(a, b) for a, b, *_ in whole} == brute([p for p in pts if None not in p], 0.5) | {(60, 60), (None, None)}
+
+
+@pytest.mark.parametrize("directed", [True, False])
+def test_betweenness_in_many_tiles(spark, monkeypatch, directed):
+    monkeypatch.setattr(graph, "TILE", 8)
+    monkeypatch.setattr(graph, "STRIPE", 2)
+    monkeypatch.setattr(graph, "BLOCK", 5)
+    rnd = Random(4)
+    edges = [(f"n{rnd.randrange(40)}", f"n{rnd.randrange(40)}") for _ in range(70)]
+    e = spark.createDataFrame(edges, "src string, dst string")
+    out = graph.betweenness(e, directed=directed)
+    assert {r.node: r.betweenness for r in out.collect()} == pytest.approx(brandes(edges, directed), abs=1e-9)
+
+
+def test_betweenness_of_a_dense_graph_forms_no_rows_per_path(spark, monkeypatch):
+    """A source and an edge never meet as a row: no walk along edge rows is made."""
+
+    def refuse(*_):
+        raise AssertionError("rows per source and edge were made")
+
+    monkeypatch.setattr(graph._Links, "walk", refuse)
+    e = spark.range(60).withColumnRenamed("id", "src").crossJoin(spark.range(60).withColumnRenamed("id", "dst"))
+    e = e.filter((F.col("src") * 7 + F.col("dst") * 3) % 4 != 0)
+    out = graph.betweenness(e)
+    pairs = [tuple(r) for r in e.collect()]
+    assert {r.node: r.betweenness for r in out.collect()} == pytest.approx(brandes(pairs, True), abs=1e-9)
