@@ -227,7 +227,9 @@ def fit_tree(
         F.col(label).cast("double").alias("y"),
         (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"),
     ).filter("y IS NOT NULL AND w > 0")
-    rows = staged(rows, "tree")
+    # rows alike in bins and label count as one, so that levels read each combination once
+    alike = [f"f{i}" for i in range(len(features))]
+    rows = staged(rows.groupBy(*alike, "y").agg(F.sum("w").alias("w")), "tree")
     total = rows.agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("y")).alias("wy")).first()
     if not total["w"]:
         raise ValueError("no rows to fit")

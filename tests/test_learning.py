@@ -310,3 +310,14 @@ def test_predictions_and_run_log_round_trip(spark, data, tmp_path):
     table = {r.run_id: r for r in writers.compare_runs(spark, runs, ["f1", "accuracy"]).collect()}
     assert (table["lr"].f1, table["lr"].accuracy, table["lr"].seconds) == (0.3, 0.6, 1.5)
     assert table["rf"].accuracy is None
+
+
+def test_tree_reads_rows_alike_once(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(tree, "staged", lambda df, label: kept.append(df.count()) or df)
+    rows_in = [(float(k % 3), "ab"[k % 2], int(k % 3 == 2)) for k in range(600)]
+    df = spark.createDataFrame(rows_in, "x double, c string, y int")
+    model = tree.fit_tree(df, ["x"], ["c"], "y", max_depth=1)
+    assert kept == [6]
+    s = model.splits[1]
+    assert (s.feature, s.threshold, s.left_weight, s.right_weight) == ("x", 1.0, 400.0, 200.0)
