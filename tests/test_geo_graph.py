@@ -2,6 +2,7 @@ import math
 from collections import deque
 from random import Random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -322,3 +323,15 @@ def test_betweenness_of_a_dense_graph_forms_no_rows_per_path(spark, monkeypatch)
     out = graph.betweenness(e)
     pairs = [tuple(r) for r in e.collect()]
     assert {r.node: r.betweenness for r in out.collect()} == pytest.approx(brandes(pairs, True), abs=1e-9)
+
+
+@pytest.mark.parametrize("sending, wanting, edges", [(0.01, 1.0, 0.3), (1.0, 0.01, 0.3), (1.0, 1.0, 0.3), (0.0, 1.0, 0.3), (1.0, 1.0, 0.0)])
+def test_values_move_along_a_tile_without_blas(monkeypatch, sending, wanting, edges):
+    monkeypatch.setattr(graph, "SLICE", 50)
+    r = np.random.default_rng(5)
+    cells = r.random((90, 90)) < edges
+    send = np.where(r.random((40, 90)) < sending, r.random((40, 90)), 0.0)
+    wanted = r.random((40, 90)) < wanting
+    got = graph._tile_step()(send, wanted, *np.nonzero(cells))
+    assert got.shape == send.shape
+    assert got[wanted] == pytest.approx((send @ cells.astype(float))[wanted], abs=1e-12)
