@@ -10,7 +10,7 @@ bands prune inside the shards, where a vantage-point tree answers the radius que
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,20 +132,8 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     raise RuntimeError(f"groups did not settle in {max_rounds} rounds")
 
 
-def simhash_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, fingerprint, component_id, fp), one row per input row.
-
-    Null and empty texts have fingerprint zero and link like any other; equal texts meet as
-    one fingerprint before anything is paired. A null doc_id never names a group unless the
-    group has no other. Extra columns are ignored.
-    """
-
-    def mark(doc_id, text):
-        x = fingerprint(text)
-        yield doc_id, f"{x:016x}", x - (1 << 64) if x >> 63 else x
-
-    marks = staged(text_rows(docs, mark, ["doc_id", "text"], "doc_id long, fingerprint string, fp long"), "marks")
-    prints = staged(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "prints")
+def fingerprint_links(prints: DataFrame) -> DataFrame:
+    """Links (a, b) that span the groups within ``RADIUS`` bits in each shard; ``prints`` has distinct fp."""
     shards = prints.select("fp", F.explode(shard_keys(F.col("fp"))).alias("shard"))
 
     def search(batches):
@@ -153,21 +141,40 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
             fps = np.array(values, dtype=np.int64)
             return [(values[a], values[b]) for a, b in vp_links(fps.view(np.uint64))] if len(fps) > 1 else []
 
+        def told(out):
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
         shard, values = None, []
-        for pdf in batches:
+        for batch in batches:
             out = []
-            for s, fp in zip(pdf["shard"].tolist(), pdf["fp"].tolist()):
+            for s, fp in zip(batch.column("shard").to_pylist(), batch.column("fp").to_pylist()):
                 if s != shard and values:
                     out.extend(solve(values))
                     values = []
                 shard = s
                 values.append(fp)
-            yield pd.DataFrame(out, columns=["a", "b"])
+            yield told(out)
         if values:
-            yield pd.DataFrame(solve(values), columns=["a", "b"])
+            yield told(solve(values))
+
+    return shards.repartition("shard").sortWithinPartitions("shard").mapInArrow(search, "a long, b long")
 
-    links = shards.repartition("shard").sortWithinPartitions("shard").mapInPandas(search, "a long, b long")
-    roots = components(links)
+
+def simhash_groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, fingerprint, component_id, fp), one row per input row.
+
+    Null and empty texts have fingerprint zero and link like any other; equal texts meet as
+    one fingerprint before anything is paired. A null doc_id never names a group unless the
+    group has no other. Extra columns are ignored.
+    """
+
+    def mark(doc_id, text):
+        x = fingerprint(text)
+        yield doc_id, f"{x:016x}", x - (1 << 64) if x >> 63 else x
+
+    marks = staged(text_rows(docs, mark, ["doc_id", "text"], "doc_id long, fingerprint string, fp long"), "marks")
+    prints = staged(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "prints")
+    roots = components(fingerprint_links(prints))
     named = prints.join(roots, prints["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )

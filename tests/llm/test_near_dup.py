@@ -132,3 +132,22 @@ def test_heavy_groups_are_dealt_over_tasks(spark, monkeypatch):
     assert sorted(r.doc_id for r in near_dup.keep_first(docs).collect()) == [0, 99]
     assert near_dup.keep_first(docs).columns == docs.columns
     assert near_dup.keep_first(docs.limit(0)).count() == 0
+
+
+def test_fingerprints_propose_pairs_before_the_exact_search(spark):
+    """Texts within 3 bits meet through the fingerprints, and bits are majorities of the set."""
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in rng.integers(0, 9000, 900)]
+    other = " ".join(f"v{k}" for k in rng.integers(0, 9000, 900))
+    texts = spark.createDataFrame([(7, " ".join(words)), (3, " ".join([*words, "end"])), (5, other)], "id long, text string")
+    assert [tuple(r) for r in near_dup.simhash_pairs(texts).collect()] == [(3, 7)]
+    h, _ = sets.shingle_sets(*flat(pa.array([other])), near_dup.WIDTH)
+    plain = sum(1 << b for b in range(64) if 2 * sum(int(x) >> b & 1 for x in h) > len(h))
+    got = {r["id"]: r["fp"] % (1 << 64) for r in near_dup.fingerprints(texts).collect()}
+    assert got[5] == plain and (got[3] ^ got[7]).bit_count() <= 3
+
+
+def test_buckets_tell_pairs_that_cannot_be_near(spark):
+    rows_in = [(1, -1, 1, 0, 100), (1, -1, 2, 0, 90), (1, -1, 3, 0, 60), (1, -1, 4, 30, 100)]
+    got = near_dup.buckets(spark.createDataFrame(rows_in, "sig long, salt int, id long, place int, size int")).collect()
+    assert {r["id"]: r["near"] for r in got} == {1: True, 2: True, 3: False, 4: False}
