@@ -335,3 +335,8 @@ def test_values_move_along_a_tile_without_blas(monkeypatch, sending, wanting, ed
     got = graph._tile_step()(send, wanted, *np.nonzero(cells))
     assert got.shape == send.shape
     assert got[wanted] == pytest.approx((send @ cells.astype(float))[wanted], abs=1e-12)
+
+
+def test_a_task_holds_a_bounded_number_of_edges(spark):
+    """Five million edges get at least ten tasks, whatever the session's number of partitions."""
+    assert graph._tasks(spark.range(5_000_000)) >= 10
