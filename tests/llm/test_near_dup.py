@@ -151,3 +151,25 @@ def test_buckets_tell_pairs_that_cannot_be_near(spark):
     rows_in = [(1, -1, 1, 0, 100), (1, -1, 2, 0, 90), (1, -1, 3, 0, 60), (1, -1, 4, 30, 100)]
     got = near_dup.buckets(spark.createDataFrame(rows_in, "sig long, salt int, id long, place int, size int")).collect()
     assert {r["id"]: r["near"] for r in got} == {1: True, 2: True, 3: False, 4: False}
+
+
+def test_large_groups_of_near_copies_are_not_paired_in_full(spark, monkeypatch):
+    """Copies whose first does not link them all, and copies of it that are too far, are no square of pairs."""
+    rng = np.random.default_rng(6)
+    base = [f"w{k}" for k in range(150)]
+    made = []
+    for copy in range(300):
+        edited = list(base)
+        for k in rng.permutation(29)[: 2 + copy % 5]:
+            edited[5 * k + 2] = f"e{copy}x{k}"
+        made.append((copy, " ".join(edited), "en"))
+    compared, plain = [], near_dup.confirm
+
+    def counted(pairs, texts):
+        compared.append(pairs.count())
+        return plain(pairs, texts)
+
+    monkeypatch.setattr(near_dup, "confirm", counted)
+    got = near_dup.keep_first(spark.createDataFrame(made, SCHEMA)).collect()
+    assert sorted(r.doc_id for r in got) == brute(made)
+    assert sum(compared) < 10 * len(made)
