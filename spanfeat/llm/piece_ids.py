@@ -11,12 +11,13 @@ from __future__ import annotations
 import json
 import os
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
 
-# Pieces whose ids a worker remembers, and ids it remembers for them; then it starts anew.
+# Pieces whose ids a worker remembers, and ids it remembers for them; then only pieces met again
+# stay, if they are at most half.
 KNOWN_PIECES, KNOWN_IDS = 250_000, 1_500_000
 # Patterns of the two kinds of vocabulary.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -34,6 +35,7 @@ def _byte_signs() -> dict[int, str]:
 
 
 BYTE_SIGNS = _byte_signs()
+SIGN_POINTS = np.array([ord(BYTE_SIGNS[b]) for b in range(256)], "<u4")
 
 
 class Kinds:
@@ -148,20 +150,36 @@ class PieceEncoder:
         self.known: dict[bytes, int] = {}
         self.sizes = np.empty(0, np.int64)
         self.ids = np.empty(0, np.uint32)
+        self.again = np.empty(0, bool)  # whether a remembered piece was met again
+
+    def _shrink(self, pieces: int) -> None:
+        """Room for more pieces: those met only once go, or all of them."""
+        stay = np.flatnonzero(self.again)
+        size = self.sizes[stay]
+        if 2 * len(stay) + pieces > KNOWN_PIECES or 2 * size.sum() > KNOWN_IDS:
+            self.forget()
+            return
+        first = (np.cumsum(self.sizes) - self.sizes)[stay]
+        self.ids = self.ids[np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        place = np.cumsum(self.again) - 1
+        flags, place = self.again.tolist(), place.tolist()
+        self.known = {p: place[k] for p, k in self.known.items() if flags[k]}
+        self.sizes, self.again = size, np.zeros(len(stay), bool)
 
     def _lookup(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Places in ``self.ids`` and sizes of distinct pieces."""
         if len(self.known) + len(pieces) > KNOWN_PIECES or len(self.ids) > KNOWN_IDS:
-            self.forget()
-        get = self.known.get
-        place = np.array([get(p, -1) for p in pieces], np.int64)
+            self._shrink(len(pieces))
+        place = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
         absent = np.flatnonzero(place < 0)
+        self.again[place[place >= 0]] = True
         if len(absent):
             new = [pieces[k] for k in absent.tolist()]
             first = len(self.known)
             place[absent] = np.arange(first, first + len(new))
             self.known.update(zip(new, range(first, first + len(new))))
             made = self._encode(new)
+            self.again = np.append(self.again, np.zeros(len(new), bool))
             self.sizes = np.append(self.sizes, np.fromiter(map(len, made), np.int64, len(made)))
             flat_ids = np.fromiter(chain.from_iterable(made), np.uint32, int(self.sizes[first:].sum()))
             self.ids = np.append(self.ids, flat_ids)
@@ -170,8 +188,6 @@ class PieceEncoder:
 
     def _unit(self, piece: bytes) -> str | None:
         """The piece as the vocabulary's merges see it, where it is known to be a single unit."""
-        if self.borders is byte_borders:
-            return None if any(s in piece for s in self.special) else piece.decode("latin-1").translate(BYTE_SIGNS)
         if self.borders is word_borders:
             if piece.isalpha():  # ASCII letters
                 return piece.lower().decode()
@@ -181,9 +197,18 @@ class PieceEncoder:
                 return text.encode().decode("latin-1").translate(BYTE_SIGNS) if text.isalpha() else None
         return None
 
+    def _byte_units(self, pieces: list[bytes]) -> list[str | None]:
+        """Signs of all pieces by one look-up; none for pieces that may hold a special token."""
+        joined = b"".join(pieces)
+        signs = SIGN_POINTS[np.frombuffer(joined, np.uint8)].tobytes().decode("utf-32-le")
+        ends = list(accumulate(map(len, pieces), initial=0))
+        units = [signs[a:b] for a, b in pairwise(ends)]
+        met = [s for s in self.special if s in joined]
+        return [None if any(s in p for s in met) else u for p, u in zip(pieces, units)] if met else units
+
     def _encode(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of each piece: merges alone for single units, the whole path of the library for others."""
-        units = [self._unit(p) for p in pieces]
+        units = self._byte_units(pieces) if self.borders is byte_borders else [self._unit(p) for p in pieces]
         others = [p.decode() for p, u in zip(pieces, units) if u is None]
         full = iter(self.tok.encode_batch_fast(others, add_special_tokens=False))
         merge = self.tok.model.tokenize

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from spanfeat.llm import huffman_ids as h
@@ -135,3 +136,23 @@ def test_rolled_files_and_damage(spark, rows_in, tmp_path):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert h.id_archive_round_trip(empty, tokenizer_path("byte_bpe_50k.json")).count() == 0
+
+
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_met_again_are_remembered(monkeypatch, file):
+    """A full memory drops pieces met once only, and the ids stay those of the library."""
+    from spanfeat.llm import piece_ids
+
+    monkeypatch.setattr(piece_ids, "KNOWN_PIECES", 120)
+    encoder = PieceEncoder(tokenizer_path(file))
+    asked, plain = [], encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda pieces: asked.extend(pieces) or plain(pieces))
+    rng = random.Random(4)
+    for turn in range(40):
+        texts = ["the same few words, again", "x<|endoftext|>é" * (turn % 2)]
+        texts += [" ".join("".join(rng.choices("abcdeé", k=6)) for _ in range(20))]
+        ids, ends = encoder.encode(*flat(pa.array(texts)))
+        want = [encoder.tok.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [ids[a:b].tolist() for a, b in itertools.pairwise(ends.tolist())] == want
+        assert len(encoder.known) == len(encoder.sizes) == len(encoder.again) <= 120
+    assert asked.count(next(p for p in asked if p.strip() == b"same")) < 3
