@@ -3,6 +3,7 @@ from collections import deque
 from random import Random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -340,3 +341,30 @@ def test_values_move_along_a_tile_without_blas(monkeypatch, sending, wanting, ed
 def test_a_task_holds_a_bounded_number_of_edges(spark):
     """Five million edges get at least ten tasks, whatever the session's number of partitions."""
     assert graph._tasks(spark.range(5_000_000)) >= 10
+
+
+def test_pagerank_edges_are_packed(spark):
+    """A round works on chunks of edges, and its rows are sums per end instead of single edges."""
+    rng = np.random.default_rng(3)
+    pairs = {(int(a), int(b)) for a, b in rng.integers(0, 2 * graph.CELLS, (6000, 2)) // [1, 400]}
+    edges = [(a, b, float(rng.random())) for a, b in sorted(pairs)]
+    df = spark.createDataFrame(edges, "_src long, _dst long, _share double")
+    packed, parts = graph._pack_edges(df, 1000)
+    chunks = packed.toArrow().to_pylist()
+    assert sum(r.parts for r in parts.collect()) >= len(chunks) and len(chunks) <= 8
+    assert sum(len(c["share"]) // 8 for c in chunks) == len(edges)
+    left = rng.standard_normal(2 * graph.CELLS)
+    columns = ["row", "least", "nodes", "at", "share", "starts", "to"]
+    for c in chunks:
+        run = left[c["row"] * graph.CELLS : (c["row"] + 1) * graph.CELLS]
+        c["nodes"] = [{"at": k, "rank": 0.0, "left": float(x)} for k, x in enumerate(run)]
+        c["least"] = 0.0
+    table = pa.Table.from_pylist([{k: c[k] for k in columns} for c in chunks])
+    sums = [(r["id"], r["left"]) for b in graph._send(table.to_batches()) for r in b.to_pylist()]
+    want = dict.fromkeys((b for _, b, _ in edges), 0.0)
+    for a, b, share in edges:
+        want[b] += share * left[a]
+    got = dict.fromkeys(want, 0.0)
+    for to, x in sums:
+        got[to] += x
+    assert len(sums) < len(edges) / 10 and got == pytest.approx(want)
