@@ -368,3 +368,21 @@ def test_pagerank_edges_are_packed(spark):
     for to, x in sums:
         got[to] += x
     assert len(sums) < len(edges) / 10 and got == pytest.approx(want)
+
+
+def test_betweenness_reads_edges_in_files_of_bounded_size(spark, monkeypatch, tmp_path):
+    """Lists, those of a hub too, are cut, and no task meets all edges or all pairs at once."""
+    monkeypatch.setattr(graph, "TILE", 8)
+    monkeypatch.setattr(graph, "STRIPE", 2)
+    pairs = sorted({(0, k) for k in range(1, 90)} | {(k, (k * k) % 90) for k in range(90)})
+    links = spark.createDataFrame(pairs, "s long, t long")
+    files = graph._write_lists(links, "s", "t", str(tmp_path / "lists"))
+    assert sum(f[4] for f in files) == len(pairs) and max(f[4] for f in files) <= 3 * 16
+    lists = graph._Lists(str(tmp_path / "lists"), files)
+    read = [(s, t) for nodes, counts, far in lists.read(np.ones(90, bool)) for s, t in zip(np.repeat(nodes, counts).tolist(), far.tolist())]
+    assert sorted(read) == pairs
+    assert lists.sizes(90).tolist() == [sum(s == k for s, _ in pairs) for k in range(90)]
+    assert sum(len(far) for _, _, far in lists.read(np.arange(90) == 50)) <= 3 * 16
+    monkeypatch.setattr(graph, "PAIRS", 200)  # two sources a block
+    out = graph.betweenness(links.toDF("src", "dst"))
+    assert {r.node: r.betweenness for r in out.collect()} == pytest.approx(brandes(pairs, True), abs=1e-9)
